@@ -1,0 +1,62 @@
+"""All matches of a pattern with character offsets, from one regex pass per page.
+
+A match is rewritten as ``OPEN prefix SEP value SEP suffix SEP``; splitting on the two delimiters
+then gives the lengths from which every offset follows. The delimiters are Unicode noncharacters.
+Text that already holds one has it replaced one-for-one first, so offsets stay true, and values
+and quotes are always cut from the original text.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+OPEN, SEP, STAND_IN = "﷐", "﷑", "﷒"
+
+SPAN_TYPE = "struct<match_start:int,value_start:int,value_end:int,match_end:int>"
+
+
+def guarded(text: Column) -> Column:
+    return F.translate(text, OPEN + SEP, STAND_IN + STAND_IN)
+
+
+def match_spans(text: Column, prefix: str, value: str, suffix: str, flags: str) -> Column:
+    """Array of spans, left to right, without overlaps; empty when nothing matches."""
+    pattern = f"{flags}({prefix})({value})({suffix})"
+    marked = F.regexp_replace(text, pattern, f"{OPEN}$1{SEP}$2{SEP}$3{SEP}")
+    parts = F.split(marked, OPEN, -1)
+    initial = F.struct(
+        F.length(parts[0]).alias("at"), F.array().cast(f"array<{SPAN_TYPE}>").alias("spans")
+    )
+
+    def step(acc: Column, part: Column) -> Column:
+        piece = F.split(part, SEP, -1)
+        value_start = acc["at"] + F.length(piece[0])
+        value_end = value_start + F.length(piece[1])
+        match_end = value_end + F.length(piece[2])
+        span = F.struct(
+            acc["at"].alias("match_start"),
+            value_start.alias("value_start"),
+            value_end.alias("value_end"),
+            match_end.alias("match_end"),
+        )
+        return F.struct(
+            (match_end + F.length(piece[3])).alias("at"),
+            F.concat(acc["spans"], F.array(span)).alias("spans"),
+        )
+
+    found = F.aggregate(F.slice(parts, 2, F.size(parts)), initial, step, lambda acc: acc["spans"])
+    empty = F.array().cast(f"array<{SPAN_TYPE}>")
+    return F.when(text.rlike(pattern), found).otherwise(empty)
+
+
+def distinct_values(spans: Column) -> Column:
+    """Keep the first span for each value position."""
+    return F.filter(
+        spans,
+        lambda span, index: ~F.exists(
+            F.slice(spans, F.lit(1), index),
+            lambda other: (other["value_start"] == span["value_start"])
+            & (other["value_end"] == span["value_end"]),
+        ),
+    )

@@ -11,18 +11,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-OPEN, SEP, STAND_IN = "﷐", "﷑", "﷒"
+from attestry.functions.text import portable
+
+OPEN, SEP, STAND_IN = "\ufdd0", "\ufdd1", "\ufdd2"
 
 SPAN_TYPE = "struct<match_start:int,value_start:int,value_end:int,match_end:int>"
 
 
 def guarded(text: Column) -> Column:
-    return F.translate(text, OPEN + SEP, STAND_IN + STAND_IN)
+    """The text with delimiter characters replaced; almost always the text itself."""
+    held = text.contains(OPEN) | text.contains(SEP)
+    return F.when(held, F.translate(text, OPEN + SEP, STAND_IN + STAND_IN)).otherwise(text)
+
 
+def match_spans(
+    text: Column, prefix: str, value: str, suffix: str, flags: str, guard: Column | None = None
+) -> Column:
+    """Array of spans, left to right, without overlaps; empty when nothing matches.
 
-def match_spans(text: Column, prefix: str, value: str, suffix: str, flags: str) -> Column:
-    """Array of spans, left to right, without overlaps; empty when nothing matches."""
-    pattern = f"{flags}({prefix})({value})({suffix})"
+    Where ``guard`` is false the regex does not run.
+    """
+    pattern = f"{flags}({portable(prefix)})({portable(value)})({portable(suffix)})"
     marked = F.regexp_replace(text, pattern, f"{OPEN}$1{SEP}$2{SEP}$3{SEP}")
     parts = F.split(marked, OPEN, -1)
     initial = F.struct(
@@ -47,7 +56,8 @@ def match_spans(text: Column, prefix: str, value: str, suffix: str, flags: str)
 
     found = F.aggregate(F.slice(parts, 2, F.size(parts)), initial, step, lambda acc: acc["spans"])
     empty = F.array().cast(f"array<{SPAN_TYPE}>")
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    hit = text.rlike(pattern) if guard is None else guard & text.rlike(pattern)
+    return F.when(hit, found).otherwise(empty)
 
 
 def distinct_values(spans: Column) -> Column:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestry.functions.text import collapse_whitespace
+from attestry.functions.text import WHITESPACE
 
 BODY_LIMIT = 2_000_000
+IDENTITY = ("registry", "project_id", "discovered_at")
 # The base of relative links and the download address of a document.
 JSON_GROUPS_BASE = "https://registry.verra.org/"
 DOWNLOAD_PREFIX = "https://assurance-platform.goldstandard.org/api/public/documents/"
 
-_ANCHOR = r"(?is)<a(?=[\s>])([^>]*)>(.*?)(?=</a\s*>|<a[\s>]|\z)"
+_ANCHOR = r"(?is)<a(?=[\s>])([^>]*)>(.*?)(?=(</a\s*>|<a[\s>]|\z))"
 _HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
             ("&amp;", "&"))
@@ -39,7 +40,7 @@ def join_url(base: Column, link: Column) -> Column:
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link == "", base)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(origin, link))
+        .when(link.startswith("/"), _resolve_dots(F.concat(origin, link)))
         .when(link.startswith("?"), F.concat(plain, link))
         .when(link.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), link))
         .otherwise(tidy)
@@ -70,28 +71,32 @@ def html_links(payloads: DataFrame, pattern: str = ".pdf") -> DataFrame:
     Ids count all anchors of the page, so a changed filter does not renumber documents. Everything
     happens inside the payload's row; only matching links leave it.
     """
-    anchors = F.transform(
-        F.sequence(F.lit(1), F.size("_attributes")),
-        lambda i: F.struct(
+    def anchor(i: Column) -> Column:
+        inner = F.regexp_replace(F.element_at("_labels", i), "(?s)(?:<[^>]*>)+", " ")
+        return F.struct(
             _href(F.element_at("_attributes", i)).alias("href"),
-            unescape(F.regexp_replace(F.element_at("_labels", i), "(?s)<[^>]*>", " ")).alias("label"),
-        ),
-    )
-    # An anchor without an address is no link and takes no number.
-    real = F.filter(anchors, lambda a: F.length(a["href"]) > 0)
+            F.trim(unescape(inner), F.lit(WHITESPACE)).alias("label"),
+            F.element_at("_ends", i).startswith("</").alias("closed"),
+        )
+
+    # An anchor that is never closed or has no address is no link and takes no number.
+    every = F.transform(F.sequence(F.lit(1), F.size("_attributes")), anchor)
+    real = F.filter(every, lambda a: a["closed"] & (F.length(a["href"]) > 0))
     body = F.regexp_replace("body", r"(?is)<!--.*?-->|<(script|style)[^>]*>.*?</\1\s*>", "")
+    groups = {"_attributes": 1, "_labels": 2, "_ends": 3}
     found = (
         payloads.withColumn("_body", body)
         .withColumns(
             {
-                "_attributes": F.regexp_extract_all("_body", F.lit(_ANCHOR), F.lit(1)),
-                "_labels": F.regexp_extract_all("_body", F.lit(_ANCHOR), F.lit(2)),
+                name: F.regexp_extract_all("_body", F.lit(_ANCHOR), F.lit(group))
+                for name, group in groups.items()
             }
         )
         .where(F.size("_attributes") > 0)
-        .select("registry", "project_id", "url", "discovered_at", F.posexplode(real).alias("_at", "a"))
+        .select(*IDENTITY, "url", F.posexplode_outer(real).alias("_at", "a"))
+        .where("a IS NOT NULL")
     )
-    href, label = F.col("a.href"), collapse_whitespace(F.col("a.label"))
+    href, label = F.col("a.href"), F.col("a.label")
     wanted = F.lower(href).contains(pattern) | F.lower(label).contains(pattern)
     return found.where(wanted).select(
         "registry",
@@ -115,7 +120,6 @@ _GROUPS = (
     "id:string,uri:string,documentName:string,version:string>>>>"
 )
 _REQUESTS = "requests array<struct<documents:array<struct<id:string,name:string>>>>"
-IDENTITY = ("registry", "project_id", "discovered_at")
 
 
 def verra_documents(payloads: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from attestry.operators.canonical import current_heads, fold_decisions, replacement_verdicts
 from attestry.operators.versions import ingest_versions
+from attestry.schemas import FACTS, OUTCOMES
 from attestry.sources.tables import read_or_empty
 
 
@@ -78,7 +79,8 @@ def fold_batch(
         .select("registry", "project_id")
         .distinct()
     )
-    outcome_like, fact_like, _ = fold_decisions(batch.limit(0), candidates.limit(0), none)
+    outcome_like = spark.createDataFrame([], OUTCOMES)
+    fact_like = spark.createDataFrame([], FACTS)
     facts = _earlier(spark, f"{target}/facts", fact_like, batch_id)
     outcomes = _earlier(spark, f"{target}/outcomes", outcome_like, batch_id)
     heads = current_heads(facts.join(touched, ["registry", "project_id"], "left_semi"))

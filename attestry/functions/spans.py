@@ -8,6 +8,8 @@ and quotes are always cut from the original text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ OPEN, SEP, STAND_IN = "\ufdd0", "\ufdd1", "\ufdd2"
 SPAN_TYPE = "struct<match_start:int,value_start:int,value_end:int,match_end:int>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def guarded(text: Column) -> Column:
     """The text with delimiter characters replaced; almost always the text itself."""
     held = text.contains(OPEN) | text.contains(SEP)
@@ -33,16 +40,11 @@ def match_spans(
     """
     pattern = f"{flags}({portable(prefix)})({portable(value)})({portable(suffix)})"
     marked = F.regexp_replace(text, pattern, f"{OPEN}$1{SEP}$2{SEP}$3{SEP}")
-    parts = F.split(marked, OPEN, -1)
-    initial = F.struct(
-        F.length(parts[0]).alias("at"), F.array().cast(f"array<{SPAN_TYPE}>").alias("spans")
-    )
-
-    def step(acc: Column, part: Column) -> Column:
-        piece = F.split(part, SEP, -1)
-        value_start = acc["at"] + F.length(piece[0])
-        value_end = value_start + F.length(piece[1])
-        match_end = value_end + F.length(piece[2])
+
+    def step(acc: Column, lengths: Column) -> Column:
+        value_start = acc["at"] + lengths["prefix"]
+        value_end = value_start + lengths["value"]
+        match_end = value_end + lengths["suffix"]
         span = F.struct(
             acc["at"].alias("match_start"),
             value_start.alias("value_start"),
@@ -50,11 +52,27 @@ def match_spans(
             match_end.alias("match_end"),
         )
         return F.struct(
-            (match_end + F.length(piece[3])).alias("at"),
+            (match_end + lengths["gap"]).alias("at"),
             F.concat(acc["spans"], F.array(span)).alias("spans"),
         )
 
-    found = F.aggregate(F.slice(parts, 2, F.size(parts)), initial, step, lambda acc: acc["spans"])
+    def measured(parts: Column) -> Column:
+        initial = F.struct(
+            F.length(parts[0]).alias("at"), F.array().cast(f"array<{SPAN_TYPE}>").alias("spans")
+        )
+        pieces = F.transform(F.slice(parts, 2, F.size(parts)), lambda part: F.split(part, SEP, -1))
+        lengths = F.transform(
+            pieces,
+            lambda piece: F.struct(
+                *[
+                    F.length(piece[n]).alias(name)
+                    for n, name in enumerate(("prefix", "value", "suffix", "gap"))
+                ]
+            ),
+        )
+        return F.aggregate(lengths, initial, step, lambda acc: acc["spans"])
+
+    found = let(F.split(marked, OPEN, -1), measured)
     empty = F.array().cast(f"array<{SPAN_TYPE}>")
     hit = text.rlike(pattern) if guard is None else guard & text.rlike(pattern)
     return F.when(hit, found).otherwise(empty)
@@ -62,11 +80,15 @@ def match_spans(
 
 def distinct_values(spans: Column) -> Column:
     """Keep the first span for each value position."""
-    return F.filter(
-        spans,
-        lambda span, index: ~F.exists(
-            F.slice(spans, F.lit(1), index),
-            lambda other: (other["value_start"] == span["value_start"])
-            & (other["value_end"] == span["value_end"]),
-        ),
-    )
+
+    def firsts(all_spans: Column) -> Column:
+        def is_first(span: Column, index: Column) -> Column:
+            return ~F.exists(
+                F.slice(all_spans, F.lit(1), index),
+                lambda other: (other["value_start"] == span["value_start"])
+                & (other["value_end"] == span["value_end"]),
+            )
+
+        return F.filter(all_spans, is_first)
+
+    return let(spans, firsts)

@@ -29,7 +29,7 @@ def local(sql: str) -> str:
     """Adapter SQL with table marks replaced by plain names."""
     for name in TABLES:
         sql = sql.replace("{" + name + "}", name)
-    return sql.replace("sha256_of(", "sha256(")
+    return sql.replace("sha256_of(", "sha256(").replace("{{", "{").replace("}}", "}")
 
 
 def quoted(values) -> str:
@@ -123,14 +123,14 @@ for _dimension, (_, _strong, _weak) in KEYWORDS.items():
         _test = text_literal(f"(?i){_before}{_core}{_after}")
         _EVIDENCE.append(
             f"SELECT doc_id, text, '{_dimension}' AS dimension_id, '{_level}' AS level, "
-            f"{_at} AS at, {text_literal(_pattern)} AS pattern, "
+            f"{_at} AS position, {text_literal(_pattern)} AS pattern, "
             f"length(regexp_extract(text, {_whole}, 1)) AS s, "
             f"length(regexp_extract(text, {_whole}, 2)) AS n "
             f"FROM documents WHERE regexp_matches(text, {_test})"
         )
 ORACLES["keyword_evidence"] = f"""
 WITH found AS ({" UNION ALL ".join(_EVIDENCE)}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, dimension_id ORDER BY at) AS rn
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, dimension_id ORDER BY position) AS rn
            FROM found),
 placed AS (SELECT *, greatest(0, s - 120) AS char_start, least(length(text), s + n + 120) AS char_end
            FROM ranked WHERE rn <= 3)
@@ -155,9 +155,9 @@ def _quality(text: str) -> str:
 ORACLES["text_quality"] = f"""
 SELECT doc_id AS parsed_document_id, 1 AS page_number, {_quality("text")} FROM documents
 """
-LINES = """SELECT doc_id AS parsed_document_id, at AS page_number, parts[at] AS text
+LINES = """SELECT doc_id AS parsed_document_id, n AS page_number, parts[n] AS text
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts,
-        unnest(range(1, len(string_split(text, chr(10))) + 1)) AS at FROM documents)"""
+        unnest(range(1, len(string_split(text, chr(10))) + 1)) AS n FROM documents)"""
 ROUTED = f"""SELECT *, CASE
     WHEN non_whitespace_count >= 80 AND replacement_character_ratio <= 0.02 THEN 'native'
     WHEN ink_ratio < 0.001 THEN 'blank' ELSE 'ocr_required' END AS route
@@ -171,7 +171,7 @@ FROM ({ROUTED})
 """
 MERGED = f"""SELECT parsed_document_id, page_number, route,
     route = 'ocr_required' AND page_number % 3 = 0 AS used_ocr,
-    CASE WHEN route = 'ocr_required' AND page_number % 3 = 0 THEN upper(text) ELSE text END AS text
+    CASE WHEN route = 'ocr_required' AND page_number % 3 = 0 THEN 'scan: ' || text ELSE text END AS text
   FROM ({ROUTED})"""
 ORACLES["ocr_merge"] = f"""
 SELECT parsed_document_id, page_number, used_ocr, length(text) AS character_count,
@@ -317,13 +317,13 @@ def _rule_sql(position: int, rule, pattern_position: int, pages: str) -> str:
       {pattern_position} AS pattern_position, '{rule.field}' AS field_name,
       '{rule.kind}' AS kind, {text_literal(rule.unit) if rule.unit else "CAST(NULL AS VARCHAR)"}
         AS unit, p[3] AS raw_value,
-      before + length(p[1]) AS match_start,
-      before + length(p[1]) + length(p[2]) + length(p[3]) + {look} AS match_end
+      skipped + length(p[1]) AS match_start,
+      skipped + length(p[1]) + length(p[2]) + length(p[3]) + {look} AS match_end
     FROM (SELECT *, coalesce(sum(length(p[1]) + length(p[2]) + length(p[3]) + length(p[4])) OVER (
-            PARTITION BY parsed_document_id, page_number ORDER BY at
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
-      FROM (SELECT parsed_document_id, page_number, text, at, [g1[at], g2[at], g3[at], g4[at]] AS p
-        FROM (SELECT *, unnest(range(1, len(g1) + 1)) AS at
+            PARTITION BY parsed_document_id, page_number ORDER BY n
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS skipped
+      FROM (SELECT parsed_document_id, page_number, text, n, [g1[n], g2[n], g3[n], g4[n]] AS p
+        FROM (SELECT *, unnest(range(1, len(g1) + 1)) AS n
           FROM (SELECT parsed_document_id, page_number, text, {parts} FROM ({pages})))))"""
 
 

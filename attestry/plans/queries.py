@@ -84,7 +84,7 @@ def ocr_routing(spark: SparkSession, folder: str) -> DataFrame:
 
 def _merged(spark: SparkSession, folder: str) -> DataFrame:
     recognised = adapters.line_pages(spark, folder).where("page_number % 3 = 0").select(
-        "parsed_document_id", "page_number", F.upper("text").alias("ocr_text")
+        "parsed_document_id", "page_number", F.concat(F.lit("scan: "), "text").alias("ocr_text")
     )
     return pages.merge_ocr_text(_routed(spark, folder), recognised)
 

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attestry.operators.canonical import fact_id
+from attestry.schemas import EVIDENCE
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -250,3 +253,281 @@ SELECT 'E' || CAST(event_id AS STRING) AS decision_id, event_id,
   ts AS created_at
 FROM {{events}}
 """
+
+# A decision expects the last decision on its field that could have been approved; every eleventh
+# expects nothing and is therefore usually late. LAST_BEFORE is spelled per engine.
+EXPECTING = f"""
+SELECT *, CASE WHEN event_id % 11 <> 0 THEN LAST_BEFORE END AS prior_decision
+FROM (SELECT *, CASE WHEN status = 'approved' AND blocked_code IS NULL AND event_id % 11 <> 0
+        THEN decision_id END AS likely_head FROM ({EVENT_DECISIONS}) AS decided) AS marked
+"""
+WINDOW_BEFORE = """(PARTITION BY project_id, field_name ORDER BY created_at, event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+def event_decisions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(decisions, candidates, verdicts) for the fold."""
+    last = f"last_value(likely_head) IGNORE NULLS OVER {WINDOW_BEFORE}"
+    rows = view(spark, folder, EXPECTING.replace("LAST_BEFORE", last))
+    approved = F.col("status") == "approved"
+    after = F.struct(
+        "field_name",
+        F.col("value_json").alias("raw_value"),
+        F.when(F.col("value_json").startswith('"'), "string").otherwise("double").alias(
+            "value_type"
+        ),
+        "value_json",
+        F.lit(None).cast("string").alias("unit"),
+        F.lit(None).cast("double").alias("confidence"),
+        F.lit(None).cast("string").alias("missing_reason"),
+        F.array().cast("array<string>").alias("issues"),
+        F.array().cast(f"array<{EVIDENCE}>").alias("evidence"),
+    )
+    decisions = rows.select(
+        "decision_id",
+        "candidate_id",
+        F.lit("reader").alias("reviewer"),
+        F.lit("read the page").alias("reason"),
+        "status",
+        F.when(F.col("prior_decision").isNotNull(), fact_id("prior_decision")).alias(
+            "expected_current_fact_id"
+        ),
+        approved.alias("authority_confirmed"),
+        F.when(approved, after).alias("after"),
+        F.col("created_at").cast("timestamp").alias("created_at"),
+    )
+    candidates = rows.select(
+        "candidate_id", F.lit("verra").alias("registry"), "project_id", "field_name"
+    ).distinct()
+    verdicts = rows.where("status = 'approved'").select(
+        "decision_id",
+        F.col("created_at").cast("timestamp").alias("created_at"),
+        F.array_compact(F.array("blocked_code")).alias("blocked_codes"),
+    )
+    return decisions, candidates, verdicts
+
+
+# Review: one candidate per user and field that was ever decided.
+REVIEW_CANDIDATES = f"""
+SELECT DISTINCT candidate_id, 'R' || CAST(user_id AS STRING) AS validation_run_id,
+  CAST(event_id % 6 AS INT) AS observation_index, 'verra' AS registry,
+  'U' || CAST(user_id AS STRING) AS project_id, field_name, user_id,
+  CASE (user_id + event_id % 6) % 3 WHEN 0 THEN 'rejected' WHEN 1 THEN 'missing'
+    ELSE 'needs_review' END AS validation_status,
+  CASE (user_id + event_id % 6) % 7 WHEN 0 THEN ''
+    WHEN 1 THEN 'unit_unverified,semantic_support_pending' WHEN 2 THEN 'candidate_conflict'
+    WHEN 3 THEN 'confidence_unknown' WHEN 4 THEN 'date_format_unresolved,confidence_unknown'
+    WHEN 5 THEN 'ambiguous_abstention' ELSE 'evidence_offsets_missing' END AS codes
+FROM (SELECT e.*, 'C' || CAST(user_id AS STRING) || '-' || CAST(event_id % 6 AS STRING)
+        AS candidate_id, {_EVENT_FIELD} AS field_name FROM {{events}} AS e) AS named
+"""
+REVIEW_DECISIONS = f"""
+SELECT decision_id, candidate_id, project_id, field_name, status, created_at
+FROM ({EVENT_DECISIONS}) AS decided WHERE event_id % 6 <> 1 AND project_id NOT LIKE '%7'
+"""
+REVIEW_RUNS = """
+SELECT DISTINCT 'R' || CAST(user_id AS STRING) AS pipeline_run_id,
+  CAST('2024-01-05' AS TIMESTAMP) + CAST(user_id AS INT) * INTERVAL 1 HOUR AS finished_at
+FROM {events} WHERE user_id % 9 <> 0
+"""
+
+# Identity tables around the recorded reports, with a few broken ones.
+_KEYS = "(SELECT DISTINCT l_orderkey AS k FROM {lineitem}) AS keys"
+_KREG = """CASE WHEN (k - k % 8) % 3 = 0 THEN 'verra' WHEN (k - k % 8) % 3 = 1 THEN 'acr'
+  ELSE 'gold_standard' END"""
+_KP = "'P' || CAST(k - k % 8 AS STRING)"
+_KV = "'V' || CAST(k - k % 2 AS STRING)"
+_K = "CAST(k AS STRING)"
+IDENTITIES = {
+    "reports": f"""SELECT 'R' || {_K} AS validation_run_id, 'X' || {_K} AS extraction_run_id,
+      'D' || {_K} AS parsed_document_id, {_KV} AS document_version_id, {_KREG} AS registry,
+      {_KP} AS project_id FROM {_KEYS}""",
+    "extractions": f"""SELECT 'X' || {_K} AS extraction_run_id, 'D' || {_K} AS parsed_document_id,
+      {_KV} AS document_version_id, CASE WHEN k % 20 = 9 THEN 'nowhere' ELSE {_KREG} END AS registry,
+      {_KP} AS project_id FROM {_KEYS}""",
+    "runs": f"""SELECT 'X' || {_K} AS pipeline_run_id, 'baseline_extracted' AS stage,
+      CASE WHEN k % 20 = 3 THEN 'failed' ELSE 'succeeded' END AS status, 'h' || {_K} AS input_hash
+      FROM {_KEYS} UNION ALL
+      SELECT 'R' || {_K}, 'quality_validated', 'succeeded',
+      CASE WHEN k % 20 = 5 THEN 'other' ELSE 'h' || {_K} END FROM {_KEYS}""",
+    "parsed": f"""SELECT 'D' || {_K} AS parsed_document_id, {_KV} AS document_version_id,
+      'h' || {_K} AS input_hash FROM {_KEYS} WHERE k % 20 <> 11""",
+    "versions": f"""SELECT DISTINCT {_KV} AS document_version_id,
+      'S' || CAST(k - k % 8 AS STRING) AS source_document_id, 'sha' || {_KV} AS sha256
+      FROM {_KEYS}""",
+    "sources": f"""SELECT DISTINCT 'S' || CAST(k - k % 8 AS STRING) AS source_document_id,
+      {_KREG} AS registry, CASE WHEN (k - k % 8) % 160 = 16 THEN 'other' ELSE {_KP} END
+      AS registry_project_id, 'https://example.org/' || {_KP} AS source_url FROM {_KEYS}""",
+}
+
+# Assessment: every customer is a project with up to nineteen reviewed facts and one document.
+FACT_FIELDS = (
+    "project_id",
+    "project_name",
+    "grid_connection_status",
+    "project_boundary_text",
+    "technology_type",
+    "installed_capacity_mw",
+    "renewable_resource_type",
+    "electricity_generated_mwh",
+    "electricity_exported_mwh",
+    "pe_applicable_flag",
+    "pe_value_tco2e",
+    "pe_method_text",
+    "le_applicable_flag",
+    "le_value_tco2e",
+    "le_justification_text",
+    "be_value_tco2e",
+    "er_reported_tco2e",
+    "methodology_name",
+    "methodology_version",
+)
+PROJECT_FACTS = " UNION ALL ".join(
+    f"SELECT 'verra' AS registry, 'P' || CAST(c_custkey AS STRING) AS project_id, c_custkey, "
+    f"'{field}' AS field_name, 'F' || CAST(c_custkey AS STRING) || '-{n}' AS fact_id, "
+    + {
+        "methodology_name": "CASE WHEN c_custkey % 9 = 0 THEN '\"AMS-I.D\"' ELSE '\"ACM0002\"' END",
+        "methodology_version": "CASE WHEN c_custkey % 13 = 0 THEN '\"  \"' ELSE '\"v1\"' END",
+        "be_value_tco2e": "CAST(1000 + c_custkey % 50 AS STRING) || '.0'",
+        "pe_value_tco2e": "CAST(c_custkey % 10 AS STRING) || '.5'",
+        "le_value_tco2e": "'5'",
+        "er_reported_tco2e": "CASE WHEN c_custkey % 31 = 0 THEN '0' "
+                             "ELSE CAST(990 + c_custkey % 37 AS STRING) END",
+    }.get(field, "'\"given\"'")
+    + " AS value_json, "
+    + (
+        "CASE WHEN c_custkey % 17 = 0 THEN 'kgCO2e' ELSE 'tCO2e' END"
+        if field == "pe_value_tco2e"
+        else "'tCO2e'"
+        if field.endswith("_tco2e")
+        else "CAST(NULL AS STRING)"
+    )
+    + " AS unit, 'D' || CAST(c_custkey AS STRING) AS parsed_document_id, "
+    "'V' || CAST(c_custkey AS STRING) AS document_version_id "
+    f"FROM {{customer}} WHERE (c_custkey + {n}) % 23 <> 0"
+    for n, field in enumerate(FACT_FIELDS)
+)
+PROJECT_PAGES = """
+SELECT 'D' || CAST(c_custkey AS STRING) AS parsed_document_id, 1 AS page_number,
+  'Statement about ' || c_name || ' and its period.' AS text FROM {customer}
+"""
+BOUND = {
+    "electricity_generated_mwh": 7,
+    "electricity_exported_mwh": 8,
+    "be_value_tco2e": 15,
+    "pe_value_tco2e": 10,
+    "le_value_tco2e": 13,
+    "er_reported_tco2e": 16,
+}
+
+
+def project_contexts(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("c_custkey")
+
+    def fact(n: int):
+        return F.concat(F.lit("F"), key.cast("string"), F.lit(f"-{n}"))
+
+    entries = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    (key % 14 != 0) if field == "le_value_tco2e" else F.lit(True),
+                    F.struct(
+                        F.lit(field),
+                        F.when(key % 15 == 0, "wrong").otherwise(fact(n))
+                        if field == "pe_value_tco2e"
+                        else fact(n),
+                    ),
+                )
+                for field, n in BOUND.items()
+            ]
+        )
+    )
+    quote = F.when(key % 21 == 0, "invented").otherwise(F.col("c_name"))
+    evidence = F.struct(
+        F.concat(F.lit("V"), key.cast("string")).alias("document_version_id"),
+        F.lit(1).alias("page_number"),
+        quote.alias("quote"),
+        F.lit(16).alias("char_start"),
+        (F.lit(16) + F.length(quote)).alias("char_end"),
+    )
+    return table(spark, folder, "customer").where("c_custkey % 4 != 0").select(
+        F.lit("verra").alias("registry"),
+        F.concat(F.lit("P"), key.cast("string")).alias("project_id"),
+        (key % 6 != 0).alias("authority_confirmed"),
+        F.when(key % 10 == 0, "wrong").otherwise(fact(17)).alias("methodology_fact_id"),
+        fact(18).alias("methodology_version_fact_id"),
+        F.map_from_entries(entries).alias("period_fact_ids"),
+        F.array(evidence).alias("evidence"),
+        F.lit("reader").alias("reviewer"),
+        F.when(key % 40 == 1, " ").otherwise("checked").alias("reason"),
+        F.when(key % 16 == 1, "2020").otherwise("2020-01-01").alias("period_start"),
+        F.when(key % 18 == 1, "2019-12-31").otherwise("2020-12-31").alias("period_end"),
+    )
+
+
+JUDGED = """
+SELECT l_orderkey AS request_id,
+  CASE WHEN l_partkey % 97 = 0 THEN 'D13.C1' ELSE 'D' || CASE WHEN l_partkey % 12 < 9 THEN '0'
+    ELSE '' END || CAST(l_partkey % 12 + 1 AS STRING) || '.C' || CAST(l_suppkey % 3 + 1 AS STRING)
+    END AS criterion_id, min(l_linenumber) AS line
+FROM {lineitem} GROUP BY 1, 2
+"""
+_OUTCOMES = ("supported", "not_supported", "insufficient", "conflicting", "not_applicable")
+JUDGMENT_OUTCOME = (
+    "CASE line % 5 " + " ".join(f"WHEN {n} THEN '{o}'" for n, o in enumerate(_OUTCOMES)) + " END"
+)
+
+# Comparison and gold labels over the recorded candidates.
+GOLD_LABELS = f"""
+SELECT registry AS dataset_version, extraction_run_id AS sample_id, registry, project_id,
+  document_version_id, extraction_run_id, field_name,
+  CASE WHEN l_orderkey % 24 >= 16 THEN 'test' WHEN l_orderkey % 24 >= 8 THEN 'validation'
+    ELSE 'development' END AS split,
+  CASE WHEN count(raw_value) % 3 = 2 THEN 'unknown' ELSE 'confirmed' END AS label_status,
+  CASE WHEN count(raw_value) % 3 <> 2 THEN min(value_json) END AS value_json,
+  CASE WHEN count(raw_value) % 3 <> 2 THEN min(unit) END AS unit,
+  CASE WHEN l_orderkey % 30 = 0 THEN 'draft' ELSE 'frozen' END AS sample_status
+FROM ({RECORDED}) AS recorded WHERE l_orderkey % 3 <> 1
+GROUP BY registry, extraction_run_id, project_id, document_version_id, field_name, l_orderkey
+"""
+
+# Registry payloads wrapped around the documents.
+GROUP_PAYLOADS = """
+SELECT 'verra' AS registry, source AS project_id, CAST('2024-01-01' AS TIMESTAMP) AS discovered_at,
+  '{{"documentGroups":[{{"documents":[{{"id":' || CAST(doc_id AS STRING) ||
+  ',"uri":"files/' || CAST(doc_id AS STRING) || '.pdf","documentName":"Report ' || lang ||
+  '","version":"' || CAST(doc_id % 3 AS STRING) || '"}},{{"id":null,"uri":"/abs/' || lang ||
+  '","documentName":""}},{{"id":7,"uri":null}}]}},{{"documents":[]}}]}}' AS body
+FROM {documents}
+"""
+REQUEST_PAYLOADS = """
+SELECT 'gold_standard' AS registry, source AS project_id,
+  CAST('2024-01-01' AS TIMESTAMP) AS discovered_at,
+  '{{"requests":[{{"documents":[{{"id":' || CAST(doc_id AS STRING) || ',"name":"Doc ' || lang ||
+  '"}},{{"name":"no id"}},{{"id":"x' || CAST(doc_id AS STRING) || '","name":""}}]}}]}}' AS body
+FROM {documents}
+"""
+RESPONSES = """
+SELECT page_id, 'acr' AS registry, url,
+  CASE page_id % 9 WHEN 0 THEN 403 WHEN 1 THEN 404 WHEN 2 THEN 429 WHEN 3 THEN 503 WHEN 4 THEN 302
+    WHEN 5 THEN NULL ELSE 200 END AS http_status,
+  CASE page_id % 5 WHEN 0 THEN 'Application/JSON; charset=utf-8' WHEN 1 THEN 'text/html'
+    WHEN 2 THEN 'application/xhtml+xml' WHEN 3 THEN 'application/json' ELSE 'text/plain' END
+    AS content_type,
+  CASE WHEN page_id % 5 = 0 THEN '[' || CAST(page_id AS STRING) || ']'
+    WHEN page_id % 7 = 0 THEN html || '404 Not Found' ELSE html END AS body
+FROM {pages}
+"""
+SYNC_RUNS = """
+SELECT event_id AS sync_run_id,
+  CASE user_id % 3 WHEN 0 THEN 'verra' WHEN 1 THEN 'acr' ELSE 'gold_standard' END AS registry,
+  'c' || CAST(event_id - 1 AS STRING) AS cursor_before, 'c' || CAST(event_id AS STRING)
+    AS next_cursor, event_id % 4 AS discovered_projects, ts AS finished_at
+FROM {events}
+"""
+SYNC_FAILURES = """
+SELECT event_id AS sync_run_id, CASE WHEN user_id % 4 = 0 THEN 'registry' ELSE 'project' END AS scope
+FROM {events} WHERE event_type = 'error'
+UNION ALL SELECT event_id, 'other' FROM {events} WHERE event_type = 'error' AND user_id % 2 = 0
+"""

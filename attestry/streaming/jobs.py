@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from attestry.operators.canonical import current_heads, fold_decisions, replacement_verdicts
 from attestry.operators.versions import ingest_versions
@@ -46,11 +45,8 @@ def ingest_batch(batch: DataFrame, batch_id: int, target: str) -> None:
     _write(conflicts, f"{target}/conflicts", batch_id)
 
 
-def stream_ingest(
-    spark: SparkSession, folder: str, schema: StructType | str, target: str, checkpoint: str
-) -> StreamingQuery:
-    """Follow a folder of arriving JSON records; every content becomes one version, once."""
-    arriving = spark.readStream.schema(schema).json(folder)
+def stream_ingest(arriving: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Follow a streaming DataFrame of arrivals; every content becomes one version, once."""
     return (
         arriving.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -531,9 +531,7 @@ def reply_observations(spark: SparkSession, folder: str) -> DataFrame:
     return _replies(spark, folder)[0].select(
         "request_id", "observation_index", "field_name", "value_type", "value_json",
         "missing_reason",
-        F.element_at("evidence", F.when(F.size("evidence") > 0, 1)).getField("char_start").alias(
-            "char_start"
-        ),
+        F.get("evidence", F.lit(0)).getField("char_start").alias("char_start"),
     )
 
 

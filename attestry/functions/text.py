@@ -25,7 +25,9 @@ EVIDENCE_RADIUS = 120
 # Ignore case for all scripts, Unicode classes, and only \n as a line end.
 REGEX_FLAGS = "(?iuUd)"
 _WORD = r"[\p{L}\p{N}_]"
-WORD_BOUNDARY = f"(?:(?<!{_WORD})(?={_WORD})|(?<={_WORD})(?!{_WORD}))"
+# A letter outside the basic plane takes two units, so looking back must reach two units.
+_BEFORE = _WORD + "{1,2}"
+WORD_BOUNDARY = f"(?:(?<!{_BEFORE})(?={_WORD})|(?<={_BEFORE})(?!{_WORD}))"
 
 
 def remove_whitespace(text: Column) -> Column:

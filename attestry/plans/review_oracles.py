@@ -190,7 +190,7 @@ SELECT count(*) AS total_candidates,
   sum(evidence_count) / count(*) AS evidence_coverage,
   count(DISTINCT field_name) FILTER (decision_count > 0) / count(DISTINCT field_name)
     AS field_coverage,
-  (SELECT avg(us) / 1e6 FROM delays WHERE us >= 0) AS average_review_latency_seconds
+  (SELECT sum(us) / count(*) / 1e6 FROM delays WHERE us >= 0) AS average_review_latency_seconds
 FROM items
 """
 
@@ -309,7 +309,7 @@ WITH {GATED}, amounts AS (SELECT *, gates = '' AND c_custkey % 14 <> 0 AND {_ALL
 SELECT project_id, CASE WHEN computed THEN 'computed' ELSE 'blocked' END AS er_status,
   CASE WHEN computed THEN calculated END AS recalculated,
   CASE WHEN computed THEN reported - calculated END AS reported_minus_recalculated,
-  CASE WHEN computed AND reported <> 0 THEN round(abs(reported - calculated) / reported * 100, 12)
+  CASE WHEN computed AND reported <> 0 THEN round(abs(reported - calculated) / reported * 100, 6)
     END AS absolute_error_pct,
   CASE WHEN open AND NOT tonnes THEN 'numeric_values_and_units_required'
     WHEN NOT open THEN 'scoped_inputs_not_confirmed' WHEN reported = 0 THEN 'zero_reported_value'
@@ -461,7 +461,7 @@ WITH {SELECTED} SELECT request_id, sha256('[' || string_agg('{{"page_number":' |
   AS selected_pages_hash
 FROM selected JOIN recorded ON l_orderkey = request_id WHERE status = 'ok' GROUP BY 1
 """
-_COST = "(octet_length(encode(text)) * 0.15 + (doc_id % 1000) * 0.60) / 1000000"
+_COST = "(octet_length(encode(text)) * 15 + (doc_id % 1000) * 60) / 100000000"
 ORACLES["call_costs"] = f"""
 SELECT doc_id, octet_length(encode(text)) AS input_tokens, doc_id % 1000 AS output_tokens,
   {_COST} AS estimated_cost_usd, {_COST} <= 0.0005 AS within_ceiling FROM documents

@@ -296,8 +296,9 @@ def dimension_checks(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def er_diagnostic(spark: SparkSession, folder: str) -> DataFrame:
     return assess.er_diagnostic(_gated(spark, folder)).select(
-        "project_id", "er_status", "recalculated", "reported_minus_recalculated",
-        "absolute_error_pct", "reason",
+        "project_id", "er_status", F.col("recalculated").cast("double"),
+        F.col("reported_minus_recalculated").cast("double"),
+        F.round("absolute_error_pct", 6).cast("double").alias("absolute_error_pct"), "reason",
     )
 
 
@@ -469,7 +470,8 @@ def call_costs(spark: SparkSession, folder: str) -> DataFrame:
         replies.worst_case_tokens(F.col("text")).alias("input_tokens"),
         (F.col("doc_id") % 1000).alias("output_tokens"),
     )
-    return replies.estimate_cost(calls, Decimal("0.15"), Decimal("0.60"), Decimal("0.0005"))
+    costs = replies.estimate_cost(calls, Decimal("0.15"), Decimal("0.60"), Decimal("0.0005"))
+    return costs.withColumn("estimated_cost_usd", F.col("estimated_cost_usd").cast("double"))
 
 
 @query

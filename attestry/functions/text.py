@@ -36,7 +36,7 @@ def remove_whitespace(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for null, empty and whitespace-only text."""
-    return F.coalesce(F.length(remove_whitespace(text)), F.lit(0)) == 0
+    return ~F.coalesce(text.rlike(f"[^{WHITESPACE}]"), F.lit(False))
 
 
 def collapse_whitespace(text: Column) -> Column:

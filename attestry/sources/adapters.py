@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from attestry.operators.canonical import fact_id
 from attestry.schemas import EVIDENCE
+from attestry.session import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -141,7 +142,7 @@ FROM (
 
 def recorded(spark: SparkSession, folder: str) -> DataFrame:
     """Pages and observations in one frame; the narrower adapters project from it."""
-    return view(spark, folder, RECORDED)
+    return spark.sql(RECORDED, lineitem=spread(table(spark, folder, "lineitem")))
 
 
 def carbon_pages(spark: SparkSession, folder: str) -> DataFrame:

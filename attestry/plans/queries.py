@@ -83,8 +83,9 @@ def ocr_routing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _merged(spark: SparkSession, folder: str) -> DataFrame:
-    recognised = adapters.line_pages(spark, folder).where("page_number % 3 = 0").select(
-        "parsed_document_id", "page_number", F.concat(F.lit("scan: "), "text").alias("ocr_text")
+    scanned = F.when(F.col("page_number") % 3 == 0, F.concat(F.lit("scan: "), "text"))
+    recognised = adapters.line_pages(spark, folder).select(
+        "parsed_document_id", "page_number", scanned.alias("ocr_text")
     )
     return pages.merge_ocr_text(_routed(spark, folder), recognised)
 

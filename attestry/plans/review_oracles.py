@@ -723,4 +723,7 @@ SELECT DISTINCT source_document_id,
   {uuid5_sql("'version:' || source_document_id || ':' || sha256")} AS document_version_id, sha256
 FROM arrived JOIN first_title USING (source_document_id) WHERE titles = 1
 """
-ORACLES["streamed_heads"] = ORACLES["canonical_heads"]
+# The stream runs without replacement verdicts, so no code but time and dates bars an approval.
+ORACLES["streamed_heads"] = ORACLES["canonical_heads"].replace(
+    "WHEN status = 'approved' AND blocked_code IS NOT NULL THEN blocked_code", ""
+)

@@ -1,7 +1,8 @@
 """Views that give the supplied tables the shapes the operators work on.
 
 The SQL texts use only what Spark and DuckDB spell the same, so a checker can build the very same
-inputs in either engine. ``{name}`` stands for a table.
+inputs in either engine. ``{name}`` stands for a table. All adapters read whole tables; conditions on
+keys only decide *which* rows are faulty, late or without a partner, so that every outcome occurs.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ def build_session(app: str = "attestry", cores: int | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every column costs more than planning a wide rule table.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if cores is not None:
         builder = (

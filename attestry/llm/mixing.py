@@ -198,7 +198,12 @@ def mix(
     separate documents. A null source is a source of its own, the last one. Other columns are not
     read; an empty table gives an empty result.
     """
-    sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    sized = materialize(
+        docs.select(
+            "doc_id", "source", word_count(F.col("text")).alias("size"),
+            F.xxhash64("text").alias("text_id"),
+        )
+    )
     classes = materialize(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("rows")))
     sources = classes.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     targets = materialize(token_targets(sources, weights, share, float(most)))
@@ -211,7 +216,39 @@ def mix(
     even = F.expr("copies div rows")
     taken = even + (F.col("place") < F.col("copies") - even * F.col("rows")).cast("long")
     return ranked.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "text_id", "source", "size", "source_size", "target",
         taken.cast("int").alias("copies"),
         (taken * F.col("size")).alias("taken"),
     )
+
+
+def expand(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as often as ``mixed`` takes it, with the columns of ``docs``.
+
+    Rows with the same doc_id, source and text share the copies that ``mixed`` dealt to them. Where
+    there are several, equal rows are merged into one with a count before they move.
+    """
+    dealt = mixed.groupBy(
+        F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("text_id").alias("_text")
+    ).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0")
+    joined = docs.join(
+        dealt,
+        docs["doc_id"].eqNullSafe(dealt["_doc"])
+        & docs["source"].eqNullSafe(dealt["_source"])
+        & (F.xxhash64(docs["text"]) == dealt["_text"]),
+    ).select(*[docs[name] for name in docs.columns], "_doc", "_source", "_text", "_copies", "_rows")
+    alone = joined.where("_rows = 1").withColumn("_take", F.col("_copies"))
+    merged = joined.where("_rows > 1").groupBy(*joined.columns).agg(F.count(F.lit(1)).alias("_equal"))
+    order = Window.partitionBy("_doc", "_source", "_text").orderBy(
+        *[F.col(name).asc_nulls_first() for name in docs.columns]
+    )
+    even = F.expr("_copies div _rows")
+    before = F.sum("_equal").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_equal")
+    extra = F.greatest(F.lit(0), F.least(F.col("_equal"), F.expr("_copies % _rows") - before))
+    several = merged.withColumn("_take", even * F.col("_equal") + extra).drop("_equal")
+    return (
+        alone.unionByName(several)
+        .where("_take > 0")
+        .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_take"))))
+        .select(*docs.columns)
+    )

@@ -22,3 +22,35 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+ORACLES["op10_decontamination"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents
+), item_words AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS size,
+         array_to_string(list_slice(words, i, i + least(10, len(words)) - 1), ' ') AS phrase
+  FROM (SELECT *, unnest(generate_series(1, greatest(1, len(words) - 9))) AS i FROM item_words WHERE len(words) > 0)
+), sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, size, i, array_to_string(list_slice(words, i, i + size - 1), ' ') AS phrase
+  FROM (SELECT d.*, s.size, unnest(generate_series(1, len(words) - s.size + 1)) AS i FROM doc_words d, sizes s)
+), occurrences AS (
+  SELECT d.doc_id, d.size, d.i, w.item_id FROM doc_windows d JOIN item_windows w USING (size, phrase)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS p FROM occurrences) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occurrences) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import line_dedup, mixing, sharding
+from attestry.llm import decontaminate, line_dedup, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -39,3 +39,20 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(_read(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(
+        _read(spark, folder, "documents").select("doc_id", "text"),
+        _read(spark, folder, "benchmark").select("item_id", "text"),
+    )
+    n_hit = decontaminate.words_hit("spans")
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import decontaminate, line_dedup, mixing, sharding
+from attestry.llm import decontaminate, line_dedup, mixing, ngram_join, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +21,12 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+@query
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return ngram_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents").select("doc_id", "text")

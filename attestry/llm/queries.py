@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import decontaminate, line_dedup, mixing, ngram_join, sharding
+from attestry.llm import (
+    decontaminate, line_dedup, mixing, ngram_join, quality, sharding, toxicity,
+)
+from attestry.llm.samples import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,6 +30,22 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, _read(spark, folder, "labels").select("doc_id", "quality"))
+    return quality.quality(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _read(spark, folder, "labels").select("doc_id", "toxic"))
+    return toxicity.severity(docs, model)
+
+
 @query
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents").select("doc_id", "text")

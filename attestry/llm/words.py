@@ -39,6 +39,14 @@ def hash_words(texts: Sequence[bytes], table: bytes) -> tuple[np.ndarray, np.nda
 
     Equal words have equal hashes in every task; different ones differ but for 64-bit chance.
     """
+    hashes, counts, _, _ = hash_words_with_heads(texts, table)
+    return hashes, counts
+
+
+def hash_words_with_heads(
+    texts: Sequence[bytes], table: bytes
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``hash_words``, with the first eight bytes of every word as a number, and its length."""
     joined = b" ".join(texts).translate(table)
     size = len(joined)
     raw = np.frombuffer(joined + b" " * 8, dtype=np.uint8)
@@ -48,6 +56,8 @@ def hash_words(texts: Sequence[bytes], table: bytes) -> tuple[np.ndarray, np.nda
     starts, ends = edges[::2], edges[1::2]
     eight = np.ndarray((size + 1,), dtype="<u8", buffer=raw.data, strides=(1,))
     left = ends - starts
+    long = left.copy()
+    heads = eight[starts] & _KEEP[np.minimum(left, 8)]
     hashes = left.astype(np.uint64) * _ODD
     at, rows = starts, np.arange(len(starts))
     long_rows = np.flatnonzero(left > LONG_WORD)
@@ -62,7 +72,7 @@ def hash_words(texts: Sequence[bytes], table: bytes) -> tuple[np.ndarray, np.nda
         hashes[row] = xxhash.xxh64_intdigest(joined[starts[row] : ends[row]])
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     bounds = np.searchsorted(starts, np.cumsum(lengths + 1) - 1)
-    return hashes, np.diff(bounds, prepend=0)
+    return hashes, np.diff(bounds, prepend=0), heads, long
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:

@@ -20,7 +20,8 @@ def labelled_sample(
 ) -> DataFrame:
     """At most ``rows`` labelled documents (text, label): those with the smallest hashes of doc_id.
 
-    Rows without a label or id and held-out rows never take part. The chosen ids are broadcast;
+    Rows without a label or id and held-out rows never take part; equal texts with equal labels
+    count once. The chosen ids are broadcast;
     there are never more than ``rows`` of them.
     """
     key = F.col("doc_id")
@@ -30,5 +31,6 @@ def labelled_sample(
         .orderBy(F.xxhash64(key), key).limit(rows)
     )
     return materialize(
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        .select("text", "label").distinct()
     )

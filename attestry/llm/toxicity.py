@@ -19,10 +19,10 @@ PORTION_BYTES = 8 << 20
 PREFIX_BYTES = (4, 5, 6)
 MOST_FEATURES = 4_096
 LEAST_TOXIC = 4
-LEAST_LOG_ODDS = 2.0
+LEAST_LOG_ODDS = 3.5
 GRADES = 4
-STEPS = 400
-L2 = 1e-3
+STEPS = 1_500
+L2 = 0.003
 
 
 def occurrences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +127,7 @@ def fit_ordinal(rows, columns, values, grades: np.ndarray, n_features: int) -> t
         slope_gaps = np.array([slope_t[k + 1 :].sum() for k in range(cuts - 1)]) * steps
         slope = np.concatenate([slope_w, [slope_t.sum()], slope_gaps])
         memory += slope**2
-        move = 0.5 * slope / np.sqrt(memory)
+        move = slope / np.sqrt(memory)
         weights, first, gaps = weights - move[:n_features], first - move[n_features], gaps - move[n_features + 1 :]
     return weights, first + np.append(0.0, np.cumsum(np.exp(gaps)))
 

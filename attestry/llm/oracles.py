@@ -1,6 +1,8 @@
 """DuckDB statements for the corpus queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from attestry.llm import licenses
+
+ORACLES: dict[str, str] = {"op3_licenses": licenses.oracle()}
 
 ORACLES["op5_line_dedup"] = r"""
 WITH lines AS (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import (
-    decontaminate, line_dedup, mixing, ngram_join, quality, sharding, toxicity,
+    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, sharding, toxicity,
 )
 from attestry.llm.samples import held_out
 
@@ -39,6 +39,18 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licenses(_read(spark, folder, "documents").select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.col("matches.license")))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(names, ",").alias("licenses"),
+        F.array_max("matches.dice").alias("best_dice"),
+    )
+
+
 @query
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents").select("doc_id", "text")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import (
-    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, sharding, toxicity,
+    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, toxicity,
 )
 from attestry.llm.samples import held_out
 
@@ -78,6 +78,12 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(_read(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text", F.col("source").alias("path"))
+    return secrets.scan_secrets(docs, secrets.train(docs))
+
+
 @query
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(

@@ -21,7 +21,7 @@ PIECE_WORDS = 1 << 16
 BLOCK_WORDS = 1 << 19
 
 INDEX_SCHEMA = (
-    "shard long, docs array<bigint>, n_words array<int>, vocabulary binary, counts binary,"
+    "shard long, docs array<bigint>, texts array<bigint>, n_words array<int>, vocabulary binary, counts binary,"
     " bits binary, marks binary, samples binary"
 )
 HIT_SCHEMA = "shard long, place int, starts array<int>, ends array<int>, items array<string>"
@@ -44,14 +44,16 @@ def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                 [
                     pa.array([number], pa.int64()),
                     pa.array([portion.column("doc_id").cast(pa.int64()).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([portion.column("text_id").to_pylist()], pa.list_(pa.int64())),
                     pa.array([lengths.astype(np.int32)], pa.list_(pa.int32())),
                     *[pa.array([parts[x]], pa.binary()) for x in ("vocabulary", "counts", "bits", "marks", "samples")],
                 ],
-                names=["shard", "docs", "n_words", "vocabulary", "counts", "bits", "marks", "samples"],
+                names=["shard", "docs", "texts", "n_words", "vocabulary", "counts", "bits", "marks", "samples"],
             )
             number += 1
 
-    return docs.select("doc_id", "text").mapInArrow(shards, INDEX_SCHEMA)
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("text_id"))
+    return named.mapInArrow(shards, INDEX_SCHEMA)
 
 
 def phrase_pieces(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -173,7 +175,7 @@ def _merged(shard: int, offsets, at, lengths, owners, names) -> pa.RecordBatch:
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of ``docs`` (doc_id, text) what it shares with ``items`` (item_id, text).
 
-    Columns: doc_id, n_words, spans (words from start to before end, merged and in order), items
+    Columns: doc_id, text_id (a hash of the text), n_words, spans (words from start to before end, merged and in order), items
     (distinct item ids as strings, sorted). Words are runs of digits, letters and characters beyond
     ASCII, A-Z lower-cased. A window is ``window`` words of an item in a row, or all words of a
     shorter item. Null and empty texts have no words; items without words match nothing, and items
@@ -188,18 +190,18 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         search(index, phrases.where(F.col("block") == block).collect(), window)
         for block in range(0 if blocks is None else blocks + 1)
     ]
-    rows = index.select("shard", F.posexplode(F.arrays_zip("docs", "n_words"))).select(
-        "shard", F.col("pos").alias("place"), "col.docs", "col.n_words"
+    rows = index.select("shard", F.posexplode(F.arrays_zip("docs", "texts", "n_words"))).select(
+        "shard", F.col("pos").alias("place"), F.col("col.docs").alias("doc_id"), F.col("col.texts").alias("text_id"), "col.n_words"
     )
     if not found:
         spans = F.lit(None).cast("array<struct<start: int, end: int>>")
-        return rows.select(F.col("docs").alias("doc_id"), "n_words", spans.alias("spans"), F.lit(None).cast("array<string>").alias("items"))
+        return rows.select("doc_id", "text_id", "n_words", spans.alias("spans"), F.lit(None).cast("array<string>").alias("items"))
     hits = reduce(DataFrame.unionByName, found).groupBy("shard", "place").agg(
         F.array_sort(F.flatten(F.collect_list(F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end"))))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array_compact("items"))))).alias("items"),
     )
     return rows.join(hits, ["shard", "place"], "left").select(
-        F.col("docs").alias("doc_id"), "n_words", "spans", "items"
+        "doc_id", "text_id", "n_words", "spans", "items"
     )
 
 
@@ -213,3 +215,13 @@ def words_hit(spans: str) -> Column:
           a -> a.total), 0L)
         """
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that share no window with ``items``, with all their columns."""
+    hit = contamination(docs, items, window).where("spans is not null").select(
+        F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text")
+    ).distinct()
+    return docs.join(
+        hit, docs["doc_id"].eqNullSafe(hit["_doc"]) & (F.xxhash64(docs["text"]) == hit["_text"]), "left_anti"
+    )

@@ -231,24 +231,23 @@ def expand(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     dealt = mixed.groupBy(
         F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("text_id").alias("_text")
     ).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0")
-    joined = docs.join(
+    joined = docs.select(F.struct("*").alias("_row")).join(
         dealt,
-        docs["doc_id"].eqNullSafe(dealt["_doc"])
-        & docs["source"].eqNullSafe(dealt["_source"])
-        & (F.xxhash64(docs["text"]) == dealt["_text"]),
-    ).select(*[docs[name] for name in docs.columns], "_doc", "_source", "_text", "_copies", "_rows")
-    alone = joined.where("_rows = 1").withColumn("_take", F.col("_copies"))
-    merged = joined.where("_rows > 1").groupBy(*joined.columns).agg(F.count(F.lit(1)).alias("_equal"))
-    order = Window.partitionBy("_doc", "_source", "_text").orderBy(
-        *[F.col(name).asc_nulls_first() for name in docs.columns]
+        F.col("_row.doc_id").eqNullSafe(F.col("_doc"))
+        & F.col("_row.source").eqNullSafe(F.col("_source"))
+        & (F.xxhash64("_row.text") == F.col("_text")),
     )
+    alone = joined.where("_rows = 1").select("_row", F.col("_copies").alias("_take"))
+    keys = ["_doc", "_source", "_text", "_copies", "_rows"]
+    merged = joined.where("_rows > 1").groupBy("_row", *keys).agg(F.count(F.lit(1)).alias("_equal"))
+    order = Window.partitionBy("_doc", "_source", "_text").orderBy("_row")
     even = F.expr("_copies div _rows")
     before = F.sum("_equal").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_equal")
     extra = F.greatest(F.lit(0), F.least(F.col("_equal"), F.expr("_copies % _rows") - before))
-    several = merged.withColumn("_take", even * F.col("_equal") + extra).drop("_equal")
+    several = merged.select("_row", (even * F.col("_equal") + extra).alias("_take"))
     return (
         alone.unionByName(several)
         .where("_take > 0")
-        .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_take"))))
-        .select(*docs.columns)
+        .select("_row", F.explode(F.sequence(F.lit(1), F.col("_take"))))
+        .select("_row.*")
     )

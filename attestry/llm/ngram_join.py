@@ -39,16 +39,17 @@ def _class_of(shingles: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """Per document (doc_id, n, class); also rows (key, times) of shingles frequent in a portion."""
+    """Per document (doc_id, text_id, n, class); also rows (key, times) of a portion's frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(x, pa.int64()) for x in ("doc_id", "n", "class", "key", "times")])
+        schema = pa.schema([(x, pa.int64()) for x in ("doc_id", "text_id", "n", "class", "key", "times")])
         for portion in portions(batches, "text", PORTION_BYTES):
             sets = _sets(portion, words)
             classes = [_class_of(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     portion.column("doc_id").cast(pa.int64()),
+                    portion.column("text_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(classes, pa.int64()),
                     pa.nulls(len(sets), pa.int64()),
@@ -61,13 +62,13 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
             often = times >= LOCAL_LEAST
             count = int(often.sum())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(count, pa.int64())] * 3
+                [pa.nulls(count, pa.int64())] * 4
                 + [pa.array(keys[often].view(np.int64)), pa.array(times[often].astype(np.int64))],
                 schema=schema,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, class long, key long, times long"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")).mapInArrow(
+        run, "doc_id long, text_id long, n long, class long, key long, times long"
     )
 
 
@@ -374,7 +375,7 @@ def _joined_with(joined: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, share: tuple[int, int] = (75, 100)) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, class, component_id.
+    """Per row of ``docs`` (doc_id, text): doc_id, text_id, n_shingles, class, component_id.
 
     A document's set is its distinct runs of ``words`` words (blank-separated, A-Z lower-cased), or
     all its words as one run if it has fewer. Two documents link when intersection / union is at
@@ -390,13 +391,38 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: tuple[int, int] = (7
     sets = materialize(linkable_sets(shared_postings(packed, parts, parts), share))
     linked = linked_classes(sets, share)
     rows = prints.where(F.col("n").isNotNull()).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class")
+        "doc_id", "text_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class")
     )
     per_class = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
     named = per_class.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("class", "component_id")
     return rows.join(named, "class", "left").select(
-        "doc_id", "n_shingles", "class",
+        "doc_id", "text_id", "n_shingles", "class",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = (75, 100)) -> DataFrame:
+    """The rows of ``docs`` with the least doc_id of every group of linked texts, all columns.
+
+    Texts without words stand alone. Rows with the same doc_id and text are one document; of several
+    texts with the least doc_id the one with the least hash stays.
+    """
+    found = near_duplicates(docs, words, share).groupBy("doc_id", "text_id", "class", "component_id").agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    single = F.col("class").isNull() | F.col("component_id").isNull()
+    first = F.when(single, F.col("doc_id")).otherwise(F.col("component_id"))
+    group = F.struct(first.alias("id"), F.when(single, F.col("text_id")).alias("text"))
+    kept = found.groupBy(single.alias("single"), group.alias("group")).agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_id", "_rows")).alias("kept")
+    ).select(
+        F.col("kept.doc_id").alias("_doc"), F.col("kept.text_id").alias("_text"), F.col("kept._rows").alias("_rows")
+    )
+    joined = docs.select(F.struct("*").alias("_row")).join(
+        kept, F.col("_row.doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("_row.text") == F.col("_text"))
+    )
+    alone = joined.where("_rows = 1").select("_row.*")
+    merged = joined.where("_rows > 1").groupBy("_doc", "_text").agg(F.min("_row").alias("_row")).select("_row.*")
+    return alone.unionByName(merged)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import (
-    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, toxicity,
+    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, toxicity, vector_dedup,
 )
 from attestry.llm.samples import held_out
 
@@ -67,6 +67,13 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_vectors(
+        _read(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    )
+
+
 @query
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents").select("doc_id", "text", "source")

@@ -196,3 +196,15 @@ def severity(docs: DataFrame, model: Severity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, severity double, grade int, toxic boolean"
     )
+
+
+def without_toxic(docs: DataFrame, model: Severity) -> DataFrame:
+    """The rows of ``docs`` whose likeliest grade is 0, with all their columns; nothing moves."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for portion in portions(batches, "text", PORTION_BYTES):
+            above = sent.value.above(text_bytes(portion.column("text")))
+            yield portion.filter(pa.array(above[:, 0] < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

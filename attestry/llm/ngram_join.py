@@ -21,6 +21,7 @@ HOT_PARTS = 1 << 20
 HOT_LEAST = 16
 LOCAL_LEAST = 4
 KEY_BITS = 40
+SIGNATURE_WORDS = 8
 STAR_ROUNDS = 2
 
 
@@ -203,18 +204,25 @@ def shared_postings(packed: DataFrame, buckets: int, class_parts: int) -> DataFr
     return packed.groupBy("part").applyInArrow(run, _BLOB)
 
 
+def _signature(keys: np.ndarray) -> np.ndarray:
+    """Parities of hashed keys. Two of them differ in at most as many bits as the sets in keys."""
+    slots = (mixed(keys * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(64 * SIGNATURE_WORDS - 1)).astype(np.int64)
+    parity = np.bincount(slots, minlength=64 * SIGNATURE_WORDS) & 1
+    return np.packbits(parity.astype(bool), bitorder="little").view("<i8")
+
+
 def linkable_sets(shared: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Classes whose prefix holds a shared shingle: class, n, lone, prefix, keys.
+    """Classes whose prefix holds a shared shingle: class, n, lone, prefix, keys, signature.
 
     Shingles are ordered by document frequency, hot ones last. A set of n shingles and a partner
     share one of its first n - ceil(t n) + 1. ``lone`` shingles of the set are in no other set and
     stand first, so a set whose prefix ends among them has no partner. ``prefix`` lists the shared
-    shingles of the prefix in order, ``keys`` all shared ones sorted.
+    shingles of the prefix in order, ``keys`` all shared ones sorted, ``signature`` their parities.
     """
     num, den = share
     schema = pa.schema([
         ("class", pa.int64()), ("n", pa.int64()), ("lone", pa.int64()),
-        ("prefix", pa.list_(pa.int64())), ("keys", pa.binary()),
+        ("prefix", pa.list_(pa.int64())), ("keys", pa.binary()), ("signature", pa.list_(pa.int64())),
     ])
 
     def run(table: pa.Table) -> pa.Table:
@@ -254,10 +262,11 @@ def linkable_sets(shared: DataFrame, share: tuple[int, int]) -> DataFrame:
                     out["lone"].append(lone)
                     out["prefix"].append(keys[a : a + length - lone].view(np.int64))
                     out["keys"].append(np.sort(keys[a:b]).tobytes())
+                    out["signature"].append(_signature(keys[a:b]))
         return pa.table(out, schema=schema)
 
     return shared.groupBy("part").applyInArrow(
-        run, "class long, n long, lone long, prefix array<long>, keys binary"
+        run, "class long, n long, lone long, prefix array<long>, keys binary, signature array<long>"
     )
 
 
@@ -269,6 +278,23 @@ def _fits(share: tuple[int, int]) -> str:
     )
 
 
+def _bits_apart(a: str, b: str) -> str:
+    """In how many bits two signatures differ."""
+    return " + ".join(f"bit_count({a}[{k}] ^ {b}[{k}])" for k in range(SIGNATURE_WORDS))
+
+
+def _near(share: tuple[int, int]) -> str:
+    """Whether some members of two groups can differ in few enough shingles.
+
+    Members stand at most ``radius`` bits from their head's signature, and lone shingles of either
+    side are always differences. Sets of m and n shingles that differ in d reach the similarity t
+    if and only if (1 - t) (m + n) >= (1 + t) d.
+    """
+    num, den = share
+    apart = _bits_apart("a.signature", "b.signature")
+    return f"{den - num} * (a.n + b.n) >= {den + num} * ({apart} - a.radius - b.radius + a.lone + b.lone)"
+
+
 def verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The pairs (u, v) of classes that reach the similarity, by their whole sets."""
     num, den = share
@@ -301,15 +327,23 @@ def linked_classes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     Sets with the same size, lone count and prefix are one group, since they meet the same
     candidates. First every group's members and, per shingle, every group meet one head: a number of
     pairs in proportion to the lists. Then all group pairs with a common prefix shingle that fit by
-    size and place are expanded to those members that are still in different components; pairs
-    inside the largest component of a list are never formed. Nothing is left out: a link between two
+    size, place and signature are expanded to those members that are still in different components;
+    pairs inside the largest component of a list are never formed. Nothing is left out: a link between two
     members that are not compared would join what is joined already.
     """
     members = materialize(
-        sets.select("class", "n", F.xxhash64("n", "lone", "prefix").alias("g"), "lone", "prefix")
+        sets.select(
+            "class", "n", F.xxhash64("n", "lone", "prefix").alias("g"), "lone", "prefix", "signature"
+        )
     )
     groups = members.groupBy("g").agg(
-        F.min("class").alias("head"), *[F.any_value(x).alias(x) for x in ("n", "lone", "prefix")]
+        F.min("class").alias("head"), F.min_by("signature", "class").alias("signature"),
+        *[F.any_value(x).alias(x) for x in ("n", "lone", "prefix")],
+    )
+    shapes = materialize(
+        members.select("g", F.col("signature").alias("own")).join(groups.select("g", "lone", "signature"), "g")
+        .groupBy("g", "lone", "signature")
+        .agg(F.max(F.expr(_bits_apart("own", "signature"))).alias("radius"))
     )
     lists = materialize(
         groups.select("g", "head", "n", "lone", F.posexplode("prefix").alias("pos", "token")).select(
@@ -342,12 +376,12 @@ def linked_classes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
         F.max_by("component", F.struct("size", "component")).alias("largest"),
         F.count(F.lit(1)).alias("parts"),
     ).where("parts > 1").drop("parts")
-    open_entries = entries.join(open_lists, "token")
+    open_entries = materialize(entries.join(open_lists, "token").join(shapes, "g"))
     others = open_entries.where("component <> largest")
     pairs = (
         others.alias("a").join(open_entries.alias("b"), F.col("a.token") == F.col("b.token"))
         .where("a.component <> b.component and (b.component = b.largest or (a.component < b.component))")
-        .where(_fits(share))
+        .where(_fits(share)).where(_near(share))
         .select(
             F.col("a.g").alias("g1"), F.col("a.component").alias("c1"),
             F.col("b.g").alias("g2"), F.col("b.component").alias("c2"),

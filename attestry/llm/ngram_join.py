@@ -22,7 +22,8 @@ HOT_LEAST = 16
 LOCAL_LEAST = 4
 KEY_BITS = 40
 SIGNATURE_WORDS = 8
-STAR_ROUNDS = 2
+#: Heads that a group meets per round, and rounds at most; the last comparison is whole anyway.
+HEADS, STAR_ROUNDS = 4, 6
 
 
 def _sets(portion: pa.RecordBatch, words: int) -> list[np.ndarray]:
@@ -325,8 +326,8 @@ def linked_classes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """``class`` and the least class linked with it, over all sets.
 
     Sets with the same size, lone count and prefix are one group, since they meet the same
-    candidates. First every group's members and, per shingle, every group meet one head: a number of
-    pairs in proportion to the lists. Then all group pairs with a common prefix shingle that fit by
+    candidates. First every group's members and, per shingle, every group meet one head, chosen anew
+    each round until a round joins nothing: a number of pairs in proportion to the lists. Then all group pairs with a common prefix shingle that fit by
     size, place and signature are expanded to those members that are still in different components;
     pairs inside the largest component of a list are never formed. Nothing is left out: a link between two
     members that are not compared would join what is joined already.
@@ -347,12 +348,14 @@ def linked_classes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     )
     lists = materialize(
         groups.select("g", "head", "n", "lone", F.posexplode("prefix").alias("pos", "token")).select(
-            "token", "g", "head", "n", (F.col("lone") + F.col("pos")).alias("place")
+            "token", "g", "head", "n", "lone", (F.col("lone") + F.col("pos")).alias("place")
         )
     )
     joined = members.select("class", "g", F.col("class").alias("component"))
     for round_ in range(STAR_ROUNDS):
-        pick = F.xxhash64("g", F.lit(round_))
+        # Sets with few lone shingles stand in the middle of their crowd.
+        chance = F.xxhash64("g", F.pmod("token", F.lit(HEADS)), F.lit(round_))
+        pick = F.struct(F.col("lone") + F.pmod(chance, F.lit(4 + 4 * round_)), chance)
         heads = lists.groupBy("token").agg(
             F.min_by(F.struct("g", "head", "n", "place"), F.struct(pick, "g")).alias("to")
         ).select("token", "to.*")
@@ -366,7 +369,10 @@ def linked_classes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
             met.unionByName(inside).join(joined, "g").join(at_head, "v")
             .where("component <> v_component").select(F.col("class").alias("u"), "v").distinct()
         )
-        joined = _joined_with(joined, verified(pairs, sets, share))
+        links = materialize(verified(pairs, sets, share))
+        if links.isEmpty():
+            break
+        joined = _joined_with(joined, links)
 
     entries = materialize(
         lists.join(joined, "g").groupBy("token", "g", "component", "n", "place").agg(F.count(F.lit(1)).alias("size"))

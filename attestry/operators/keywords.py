@@ -135,8 +135,11 @@ def keyword_evidence(
     scope: Sequence[str] = ("parsed_document_id",),
     rules: Mapping = KEYWORDS,
     page_order: Sequence[str] = ("page_number",),
+    most: int | None = EVIDENCE_PER_DIMENSION,
 ) -> DataFrame:
-    """Up to three evidence windows per scope and dimension, strong patterns first.
+    """Evidence windows per scope and dimension with their rank, strong patterns first.
+
+    ``most`` is how many a dimension shows; None shows all. ``evidence_rank`` counts from 1.
 
     ``page_order`` says which page of a scope comes first (for a scope of several documents put the
     document position in front). The first page per pattern comes from partial minima over page
@@ -166,7 +169,10 @@ def keyword_evidence(
             ]
         )
         found = F.filter(entries, lambda entry: entry["place"].isNotNull())
-        return F.slice(found, 1, EVIDENCE_PER_DIMENSION)
+        ranked = F.transform(
+            found, lambda entry, i: entry.withField("evidence_rank", (i + 1).cast("int"))
+        )
+        return ranked if most is None else F.slice(ranked, 1, most)
 
     wanted = (
         firsts.select(*scope, F.explode(F.flatten(F.array(*map(reported, rules)))).alias("e"))

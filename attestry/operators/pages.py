@@ -180,11 +180,10 @@ def write_parsed(
 
 
 def read_parsed(documents: DataFrame, pages: DataFrame, ids: DataFrame | None = None) -> DataFrame:
-    """Header columns beside every page, ordered by document and page; pages stay one per row."""
+    """Header columns beside every page; pages stay one per row, in no particular order.
+
+    A page that was stored twice appears twice: ``contracts`` reports it, nothing is dropped here.
+    """
     wanted = documents if ids is None else documents.join(ids, "parsed_document_id", "left_semi")
     shared = [c for c in pages.columns if c in wanted.columns and c != "parsed_document_id"]
-    return (
-        wanted.join(pages.drop(*shared), "parsed_document_id")
-        .dropDuplicates(["parsed_document_id", "page_number"])
-        .orderBy("parsed_document_id", "page_number")
-    )
+    return wanted.join(pages.drop(*shared), "parsed_document_id")

@@ -27,40 +27,34 @@ def ingest_versions(
 
     ``incoming`` has the source identity columns, title, sha256, content_type, file_name, byte_size,
     declared_version, retrieved_at. Within a source equal content is one version, kept from its
-    earliest arrival; every other arrival is a duplicate that names the version it repeats. Sources
-    whose stored title disagrees with the arriving one are conflicts and none of their contents is
-    taken. All steps are partial aggregates or joins on (source, hash), so a source with a third of
+    earliest arrival; every other arrival is a duplicate that names the version it repeats. The
+    stored title of a source, or else that of its earliest arrival, is its title; each arrival with
+    another title is a conflict (source, hash, file name) and is not taken, the others are. All steps are partial aggregates or joins on (source, hash), so a source with a third of
     all arrivals still spreads over its hashes.
     """
     arrivals = incoming.withColumn("source_document_id", source_id())
+    order = F.struct("retrieved_at", "file_name", "byte_size", "content_type", "declared_version")
     described = arrivals.groupBy("source_document_id", *SOURCE_IDENTITY).agg(
-        F.min("title").alias("_low"),
-        F.max("title").alias("_high"),
+        F.min(F.struct(order.alias("order"), "title")).alias("_first"),
         F.min("retrieved_at").alias("discovered_at"),
     )
     stored = sources.select(
         "source_document_id", F.col("title").alias("_stored"), F.lit(True).alias("_known")
     )
-    compared = described.join(stored, "source_document_id", "left")
-    differs = (F.col("_low") != F.col("_high")) | (
-        F.coalesce("_known", F.lit(False)) & ~F.col("_stored").eqNullSafe(F.col("_low"))
-    )
-    conflicts = compared.where(differs).select(
-        "source_document_id", F.lit("source_metadata_conflict").alias("rule")
+    named = described.join(stored, "source_document_id", "left").withColumn(
+        "_title", F.when(F.col("_known"), F.col("_stored")).otherwise(F.col("_first.title"))
     )
-    fine = compared.where(~F.coalesce(differs, F.lit(False)))
-    new_sources = fine.where("_known IS NULL").select(
-        "source_document_id",
-        *SOURCE_IDENTITY,
-        F.col("_low").alias("title"),
-        "discovered_at",
+    new_sources = named.where("_known IS NULL").select(
+        "source_document_id", *SOURCE_IDENTITY, F.col("_title").alias("title"), "discovered_at"
     )
 
-    accepted = arrivals.join(conflicts, "source_document_id", "left_anti").withColumn(
-        "document_version_id", version_id()
+    judged = arrivals.join(named.select("source_document_id", "_title"), "source_document_id")
+    same = F.col("title").eqNullSafe(F.col("_title"))
+    conflicts = judged.where(~same).select(
+        "source_document_id", "sha256", "file_name", F.lit("source_metadata_conflict").alias("rule")
     )
+    accepted = judged.where(same).withColumn("document_version_id", version_id())
     key = ["source_document_id", "sha256"]
-    order = F.struct("retrieved_at", "file_name", "byte_size", "content_type", "declared_version")
     firsts = accepted.groupBy(*key, "document_version_id").agg(
         F.min(order).alias("first"), F.count(F.lit(1)).alias("arrivals")
     )
@@ -107,11 +101,13 @@ def object_keys(versions: DataFrame) -> DataFrame:
     )
 
 
-def reprocess_gate(version_stages: DataFrame, predecessors: DataFrame) -> DataFrame:
-    """Which stages a version still needs before its facts may be promoted.
+def reprocess_gate(
+    versions: DataFrame, version_stages: DataFrame, predecessors: DataFrame
+) -> DataFrame:
+    """Which stages each of ``versions`` still needs before its facts may be promoted.
 
     ``version_stages`` has (document_version_id, stage) with repeats allowed; ``predecessors`` maps
-    a version to the one before it. One flag per required stage is aggregated, so repeats and hot
+    a version to the one before it and has no row for a first version. One flag per required stage is aggregated, so repeats and hot
     versions combine before the shuffle.
     """
     flags = {f"_{s}": F.max(F.col("stage") == s) for s in REPROCESS_STAGES}
@@ -127,7 +123,11 @@ def reprocess_gate(version_stages: DataFrame, predecessors: DataFrame) -> DataFr
             ]
         )
     )
-    gated = predecessors.join(done, "document_version_id", "left")
+    gated = (
+        versions.select("document_version_id")
+        .join(predecessors, "document_version_id", "left")
+        .join(done, "document_version_id", "left")
+    )
     same = F.col("previous_document_version_id") == F.col("document_version_id")
     return gated.select(
         "document_version_id",

@@ -204,7 +204,7 @@ FROM documents WHERE doc_id % 4 <> 1
 ORACLES["read_parsed_pages"] = f"""
 SELECT 'P' || parsed_document_id AS parsed_document_id, d.lang AS ocr_language, page_number,
   length(l.text) AS characters
-FROM ({LINES}) l JOIN documents d ON d.doc_id = l.parsed_document_id WHERE d.lang = 'de'
+FROM ({LINES}) l JOIN documents d ON d.doc_id = l.parsed_document_id
 """
 
 # ------------------------------------------------------------------- manifest and versions
@@ -228,24 +228,25 @@ _SOURCE_ID = uuid5_sql(
 ARRIVED = f"""
 arrived AS (SELECT a.*, {_SOURCE_ID} AS source_document_id FROM ({local(adapters.ARRIVALS)}) a),
 stored_sources AS (
-  SELECT source_document_id, min(title) AS title FROM arrived WHERE file_name LIKE '%7.txt'
-  GROUP BY 1 HAVING count(DISTINCT title) = 1),
+  SELECT source_document_id, arg_min(title, (retrieved_at, file_name)) AS title FROM arrived
+  WHERE file_name LIKE '%7.txt' GROUP BY 1),
 stored AS (
-  SELECT DISTINCT source_document_id, sha256 FROM arrived
-  WHERE file_name LIKE '%7.txt' AND source_document_id IN
-    (SELECT source_document_id FROM stored_sources)),
+  SELECT DISTINCT a.source_document_id, sha256 FROM arrived a
+  JOIN stored_sources s ON s.source_document_id = a.source_document_id AND s.title = a.title
+  WHERE file_name LIKE '%7.txt'),
 titles AS (
   SELECT source_document_id, any_value(registry_project_id) AS registry_project_id,
-    min(title) AS title, count(DISTINCT title) AS titles FROM arrived GROUP BY 1),
+    coalesce(any_value(s.title), arg_min(a.title, (retrieved_at, file_name))) AS title
+  FROM arrived a LEFT JOIN stored_sources s USING (source_document_id) GROUP BY 1),
 conflicts AS (
-  SELECT t.source_document_id FROM titles t LEFT JOIN stored_sources s USING (source_document_id)
-  WHERE titles > 1 OR (s.title IS NOT NULL AND s.title <> t.title)),
+  SELECT source_document_id, file_name FROM arrived a JOIN titles t USING (source_document_id)
+  WHERE a.title IS DISTINCT FROM t.title),
 taken AS (
   SELECT a.*, {uuid5_sql("'version:' || a.source_document_id || ':' || a.sha256")}
       AS document_version_id,
     row_number() OVER (PARTITION BY source_document_id, sha256
       ORDER BY retrieved_at, file_name) AS rn
-  FROM arrived a WHERE source_document_id NOT IN (SELECT source_document_id FROM conflicts))
+  FROM arrived a WHERE (source_document_id, file_name) NOT IN (SELECT (source_document_id, file_name) FROM conflicts))
 """
 ORACLES["ingest_new_versions"] = f"""
 WITH {ARRIVED} SELECT source_document_id, document_version_id, sha256, file_name, byte_size
@@ -254,8 +255,7 @@ FROM taken WHERE rn = 1 AND (source_document_id, sha256) NOT IN (SELECT (source_
 """
 ORACLES["ingest_new_sources"] = f"""
 WITH {ARRIVED} SELECT source_document_id, registry_project_id, title FROM titles
-WHERE source_document_id NOT IN (SELECT source_document_id FROM conflicts)
-  AND source_document_id NOT IN (SELECT source_document_id FROM stored_sources)
+WHERE source_document_id NOT IN (SELECT source_document_id FROM stored_sources)
 """
 ORACLES["ingest_duplicates"] = f"""
 WITH {ARRIVED}, grouped AS (
@@ -265,7 +265,7 @@ WITH {ARRIVED}, grouped AS (
 SELECT sha256, document_version_id, duplicates FROM grouped WHERE duplicates > 0
 """
 ORACLES["ingest_conflicts"] = f"""
-WITH {ARRIVED} SELECT source_document_id, 'source_metadata_conflict' AS rule FROM conflicts
+WITH {ARRIVED} SELECT source_document_id, file_name, 'source_metadata_conflict' AS rule FROM conflicts
 """
 ORACLES["version_history"] = f"""
 SELECT registry_project_id AS source_document_id, file_name AS document_version_id, sha256,

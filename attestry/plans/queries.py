@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from attestry.functions.values import uuid5
@@ -17,7 +17,7 @@ from attestry.operators import (
     validate,
     versions,
 )
-from attestry.session import materialize, spread
+from attestry.session import materialize
 from attestry.sources import adapters, manifest
 from attestry.sources.adapters import table, view
 
@@ -37,22 +37,22 @@ def listed(column: str, alias: str | None = None):
 # ------------------------------------------------------------------------------- keywords
 @query
 def keyword_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.keyword_totals(spread(adapters.document_pages(spark, folder)))
+    return keywords.keyword_totals(adapters.document_pages(spark, folder))
 
 
 @query
 def keyword_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.keyword_scores(spread(adapters.document_pages(spark, folder)))
+    return keywords.keyword_scores(adapters.document_pages(spark, folder))
 
 
 @query
 def keyword_scores_by_source(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.keyword_scores(spread(adapters.document_pages(spark, folder)), ["source"])
+    return keywords.keyword_scores(adapters.document_pages(spark, folder), ["source"])
 
 
 @query
 def keyword_evidence(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.keyword_evidence(spread(adapters.document_pages(spark, folder))).select(
+    return keywords.keyword_evidence(adapters.document_pages(spark, folder)).select(
         "parsed_document_id", "dimension_id", "level", "pattern", "char_start", "char_end", "quote"
     )
 
@@ -60,7 +60,7 @@ def keyword_evidence(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------------------------- pages
 @query
 def text_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return pages.text_quality(spread(adapters.document_pages(spark, folder))).drop(
+    return pages.text_quality(adapters.document_pages(spark, folder)).drop(
         "text", "lang", "source", "document_version_id"
     )
 
@@ -152,8 +152,7 @@ def read_parsed_pages(spark: SparkSession, folder: str) -> DataFrame:
     lines = adapters.line_pages(spark, folder).withColumn(
         "parsed_document_id", F.concat(F.lit("P"), "parsed_document_id")
     )
-    wanted = parses.where("ocr_language = 'de'").select("parsed_document_id")
-    return pages.read_parsed(parses, lines, wanted).select(
+    return pages.read_parsed(parses, lines).select(
         "parsed_document_id", "ocr_language", "page_number", F.length("text").alias("characters")
     )
 
@@ -216,7 +215,7 @@ def ingest_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ingest_conflicts(spark: SparkSession, folder: str) -> DataFrame:
-    return _ingested(spark, folder)[3]
+    return _ingested(spark, folder)[3].select("source_document_id", "file_name", "rule")
 
 
 @query
@@ -254,13 +253,18 @@ def reprocess_gate(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_orderkey").alias("document_version_id"),
         F.when(F.col("l_partkey") % 97 == 0, "guessed").otherwise(stage).alias("stage"),
     )
-    versions_ = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("document_version_id"),
-        F.when(F.col("o_orderkey") % 50 == 0, F.col("o_orderkey"))
-        .otherwise(F.col("o_orderkey") - 1)
-        .alias("previous_document_version_id"),
+    # A customer's earlier order is the version before; their first order has none.
+    named = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("document_version_id"), "o_custkey"
     )
-    gate = versions.reprocess_gate(stages, versions_)
+    earlier = F.lag("document_version_id").over(
+        Window.partitionBy("o_custkey").orderBy("document_version_id")
+    )
+    own = F.col("document_version_id")
+    predecessors = named.select(
+        own, F.when(own % 50 == 0, own).otherwise(earlier).alias("previous_document_version_id")
+    ).where("previous_document_version_id IS NOT NULL")
+    gate = versions.reprocess_gate(named, stages, predecessors)
     return gate.select(
         "document_version_id",
         listed("completed_stages"),

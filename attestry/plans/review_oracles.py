@@ -393,6 +393,17 @@ gold AS (SELECT l.*, s.n AS candidate_count, s.n - s.valued AS candidate_missing
       WHEN k = l.value_json || '|' || coalesce('u' || l.unit, '-') THEN 'exact_match'
       ELSE 'value_mismatch' END AS outcome
   FROM labels l JOIN seen s USING (extraction_run_id, field_name) WHERE sample_status = 'frozen')"""
+_COVERED = """samples AS (SELECT DISTINCT dataset_version, split, sample_id,
+  CAST(substr(sample_id, 2) AS BIGINT) AS n FROM gold WHERE dataset_version <> 'acr'),
+written AS (SELECT *, CASE WHEN n % 45 = 0 THEN 'Q' ELSE '' END || sample_id AS report FROM samples),
+reports AS (SELECT dataset_version, split, report, CASE WHEN n % 77 = 0 THEN 2 ELSE 1 END AS times FROM written
+  UNION ALL SELECT dataset_version, split, 'Z' || report, 1 FROM written WHERE n % 99 = 0),
+coverage AS (
+  SELECT s.dataset_version, s.split, s.sample_id, 'missing_report' AS rule FROM samples s
+  ANTI JOIN reports r ON r.dataset_version = s.dataset_version AND r.report = s.sample_id
+  UNION ALL SELECT r.dataset_version, r.split, r.report, 'unexpected_report' FROM reports r
+  ANTI JOIN samples s ON r.dataset_version = s.dataset_version AND r.report = s.sample_id
+  UNION ALL SELECT dataset_version, split, report, 'duplicate_report' FROM reports WHERE times > 1)"""
 _METRICS = """count(*) AS evaluated_fields,
   count(*) FILTER (outcome IN ('exact_match', 'correct_abstention')) AS agreement_count,
   count(*) FILTER (outcome IN ('exact_match', 'correct_abstention')) / count(*) AS accuracy,
@@ -411,29 +422,33 @@ WITH {GOLD} SELECT dataset_version, sample_id, split, {_METRICS},
   count(*) FILTER (evidence_present) / count(*) AS evidence_coverage FROM gold GROUP BY 1, 2, 3
 """
 ORACLES["gold_coverage_violations"] = f"""
-WITH {GOLD}, samples AS (SELECT DISTINCT dataset_version, sample_id,
-  CAST(substr(sample_id, 2) AS BIGINT) AS n FROM gold WHERE dataset_version <> 'acr')
-SELECT dataset_version, sample_id, 'missing_report' AS rule FROM samples
-  WHERE n % 45 = 0 AND n % 77 <> 0
-UNION ALL SELECT dataset_version, sample_id, 'duplicate_report' FROM samples
-  WHERE n % 77 = 0 AND n % 45 <> 0
-UNION ALL SELECT dataset_version, 'Z' || sample_id, 'unexpected_report' FROM samples
-  WHERE n % 99 = 0
+WITH {GOLD}, {_COVERED} SELECT * FROM coverage
 """
 _AGGREGATE = f"""SELECT dataset_version, coalesce(split, 'all') AS split,
   count(DISTINCT sample_id) AS samples_evaluated, {_METRICS}
   FROM gold GROUP BY GROUPING SETS ((dataset_version, split), (dataset_version))"""
 ORACLES["gold_aggregate"] = f"WITH {GOLD} {_AGGREGATE}"
 ORACLES["gold_aggregate_complete"] = f"""
-WITH {GOLD} SELECT * FROM ({_AGGREGATE}) WHERE dataset_version = 'acr'
+WITH {GOLD}, {_COVERED}, open AS (SELECT dataset_version, split FROM coverage
+  UNION SELECT dataset_version, 'all' FROM coverage)
+SELECT a.* FROM ({_AGGREGATE}) a ANTI JOIN open o
+  ON o.dataset_version = a.dataset_version AND o.split = a.split
+"""
+ORACLES["gold_violations"] = f"""
+WITH labels AS (SELECT DISTINCT dataset_version, sample_id, sample_status,
+  CAST(substr(sample_id, 2) AS BIGINT) AS n FROM ({local(adapters.GOLD_LABELS)}))
+SELECT dataset_version, sample_id, 'draft_sample' AS rule FROM labels WHERE sample_status <> 'frozen'
+UNION ALL SELECT dataset_version, sample_id, 'project_id_differs' FROM labels WHERE n % 29 = 0
 """
 ORACLES["gold_acceptance"] = f"""
-WITH {GOLD}, test AS (SELECT dataset_version, {_METRICS},
+WITH {GOLD}, {_COVERED}, test AS (SELECT dataset_version, {_METRICS},
     count(*) FILTER (outcome = 'conflicting_candidates') / count(*) AS conflict_rate
   FROM gold WHERE split = 'test' GROUP BY 1),
 gates AS (SELECT dataset_version, CASE dataset_version
     WHEN 'gold_standard' THEN 'approved_policy_required' WHEN 'verra' THEN 'frozen_gold_required'
-    END AS gate FROM (SELECT DISTINCT dataset_version FROM labels))
+    ELSE CASE WHEN EXISTS (SELECT 1 FROM coverage c WHERE c.dataset_version = d.dataset_version
+      AND c.split = 'test') THEN 'incomplete_reports' END
+    END AS gate FROM (SELECT DISTINCT dataset_version FROM labels) d)
 SELECT g.dataset_version, 'policy-' || g.dataset_version AS policy_version,
   coalesce(gate, CASE WHEN accuracy IS NULL THEN 'incomplete_reports' END, 'accepted') AS gate,
   CASE WHEN gate IS NULL THEN accuracy END AS accuracy,
@@ -717,13 +732,10 @@ SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'reused' WHEN 1 THEN 'conflict'
   AS result FROM customer
 """
 ORACLES["streamed_versions"] = f"""
-WITH {ARRIVED}, first_title AS (SELECT source_document_id, count(DISTINCT title) AS titles
-  FROM arrived GROUP BY 1)
+WITH {ARRIVED}, first_title AS (SELECT source_document_id,
+  arg_min(title, (retrieved_at, file_name)) AS first_title FROM arrived GROUP BY 1)
 SELECT DISTINCT source_document_id,
   {uuid5_sql("'version:' || source_document_id || ':' || sha256")} AS document_version_id, sha256
-FROM arrived JOIN first_title USING (source_document_id) WHERE titles = 1
+FROM arrived JOIN first_title USING (source_document_id) WHERE title = first_title
 """
-# The stream runs without replacement verdicts, so no code but time and dates bars an approval.
-ORACLES["streamed_heads"] = ORACLES["canonical_heads"].replace(
-    "WHEN status = 'approved' AND blocked_code IS NOT NULL THEN blocked_code", ""
-)
+ORACLES["streamed_heads"] = ORACLES["canonical_heads"]

@@ -385,18 +385,24 @@ def gold_sample_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _coverage(spark: SparkSession, folder: str) -> DataFrame:
-    """The acr dataset is complete; the other two lack a report, repeat one or hold a foreign one."""
+    """The acr dataset is complete; in the other two reports are misnamed, repeated or foreign."""
     samples = view(spark, folder, adapters.GOLD_LABELS).where("sample_status = 'frozen'").select(
-        "dataset_version", "sample_id"
+        "dataset_version", "split", "sample_id"
     ).distinct()
     number = F.substring("sample_id", 2, 20).cast("long")
-    acr = F.col("dataset_version") == "acr"
-    kept = samples.where(acr | (number % 45 != 0))
-    again = samples.where(~acr & (number % 77 == 0))
-    foreign = samples.where(~acr & (number % 99 == 0)).withColumn(
+    faulty = F.col("dataset_version") != "acr"
+    reports = samples.withColumn(
+        "sample_id",
+        F.when(faulty & (number % 45 == 0), F.concat(F.lit("Q"), "sample_id")).otherwise(
+            F.col("sample_id")
+        ),
+    )
+    number = F.regexp_extract("sample_id", r"(\d+)", 1).cast("long")
+    again = reports.where(faulty & (number % 77 == 0))
+    foreign = reports.where(faulty & (number % 99 == 0)).withColumn(
         "sample_id", F.concat(F.lit("Z"), "sample_id")
     )
-    return evaluate.coverage_violations(samples, kept.unionByName(again).unionByName(foreign))
+    return evaluate.coverage_violations(samples, reports.unionByName(again).unionByName(foreign))
 
 
 @query
@@ -428,7 +434,23 @@ def gold_acceptance(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("approved")
         .alias("policy_status"),
     )
-    return evaluate.accept(policies, datasets, evaluate.gold_aggregate(_gold(spark, folder)))
+    coverage = _coverage(spark, folder)
+    complete = evaluate.gold_aggregate(_gold(spark, folder), coverage)
+    return evaluate.accept(policies, datasets, complete, coverage)
+
+
+@query
+def gold_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Drafts, and samples whose project was written down wrongly."""
+    samples = view(spark, folder, adapters.GOLD_LABELS).withColumn(
+        "parsed_document_id", F.concat(F.lit("D"), F.substring("sample_id", 2, 20))
+    )
+    number = F.substring("sample_id", 2, 20).cast("long")
+    samples = samples.withColumn(
+        "project_id", F.when(number % 29 == 0, "elsewhere").otherwise(F.col("project_id"))
+    ).select("dataset_version", "sample_id", "sample_status", "extraction_run_id", *evaluate.GOLD_IDENTITY).distinct()
+    reports = view(spark, folder, adapters.IDENTITIES["reports"])
+    return evaluate.gold_violations(samples, reports, "extraction_run_id")
 
 
 # -------------------------------------------------------------------------------- replies
@@ -812,17 +834,30 @@ def idempotent_append(spark: SparkSession, folder: str) -> DataFrame:
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
+def _thirds(df: DataFrame, time: str) -> list[DataFrame]:
+    """The rows before, between and after two moments."""
+    moment = F.unix_micros(F.col(time).cast("timestamp"))
+    low, high = df.select(F.percentile_approx(moment, [0.33, 0.66])).first()[0]
+    return [
+        df.where(moment < low), df.where((moment >= low) & (moment < high)), df.where(moment >= high)
+    ]
+
+
+def _delivered(spark: SparkSession, parts: list[DataFrame], target: str, start) -> None:
+    """Files arrive in turns, as many per turn as the writer makes; each turn the stream catches up."""
+    for part in parts:
+        part.write.mode("append").parquet(f"{target}/in")
+        start(spark.readStream.schema(part.schema).parquet(f"{target}/in")).awaitTermination()
+
+
 @query
 def streamed_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """All arrivals as a stream of three files; the stored versions at its end."""
+    """All arrivals as a stream of three deliveries; the stored versions at its end."""
     target = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
-    arriving = adapters.arrivals(spark, folder)
-    arriving.repartitionByRange(3, "retrieved_at").write.parquet(f"{target}/in")
-    stream = (
-        spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 1)
-        .parquet(f"{target}/in")
+    _delivered(
+        spark, _thirds(adapters.arrivals(spark, folder), "retrieved_at"), target,
+        lambda stream: jobs.stream_ingest(stream, f"{target}/out", f"{target}/log"),
     )
-    jobs.stream_ingest(stream, f"{target}/out", f"{target}/log").awaitTermination()
     return spark.read.parquet(f"{target}/out/versions").select(
         "source_document_id", "document_version_id", "sha256"
     )
@@ -830,24 +865,15 @@ def streamed_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def streamed_heads(spark: SparkSession, folder: str) -> DataFrame:
-    """All decisions as a stream of three files in time order; the heads at its end."""
+    """All decisions as a stream of three deliveries in time order; the heads at its end."""
     target = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
-    decisions, candidates, _ = adapters.event_decisions(spark, folder)
-    decisions = materialize(decisions)
-    bounds = decisions.select(F.percentile_approx(F.unix_micros("created_at"), [0.33, 0.66]))
-    low, high = bounds.first()[0]
-    moment = F.unix_micros("created_at")
-    for name, part in (
-        ("a", moment < low), ("b", (moment >= low) & (moment < high)), ("c", moment >= high),
-    ):
-        decisions.where(part).coalesce(1).write.parquet(f"{target}/in/part={name}")
-    stream = (
-        spark.readStream.schema(decisions.schema).option("maxFilesPerTrigger", 1)
-        .option("recursiveFileLookup", "true").parquet(f"{target}/in")
-    )
-    jobs.stream_heads(
-        stream, materialize(candidates), None, f"{target}/out", f"{target}/log"
-    ).awaitTermination()
+    decisions, candidates, verdicts = map(materialize, adapters.event_decisions(spark, folder))
+    _delivered(
+        spark, _thirds(decisions, "created_at"), target,
+        lambda stream: jobs.stream_heads(
+            stream, candidates, None, f"{target}/out", f"{target}/log", verdicts
+        ),
+    )
     return jobs.live_heads(spark, f"{target}/out").select(
         "project_id", "field_name", "fact_id", "value_json"
     )

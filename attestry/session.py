@@ -55,13 +55,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_root(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input that was stored in too few pieces.
-
-    A large input already has more scan partitions than the cluster has cores and passes through
-    untouched; only a small one is redistributed before expensive per-row work.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * wanted) if df.rdd.getNumPartitions() < wanted else df

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from attestry.operators.canonical import fact_id
 from attestry.schemas import EVIDENCE
-from attestry.session import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -143,7 +142,7 @@ FROM (
 
 def recorded(spark: SparkSession, folder: str) -> DataFrame:
     """Pages and observations in one frame; the narrower adapters project from it."""
-    return spark.sql(RECORDED, lineitem=spread(table(spark, folder, "lineitem")))
+    return spark.sql(RECORDED, lineitem=table(spark, folder, "lineitem"))
 
 
 def carbon_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -490,7 +489,7 @@ SELECT registry AS dataset_version, extraction_run_id AS sample_id, registry, pr
   CASE WHEN count(raw_value) % 3 <> 2 THEN min(value_json) END AS value_json,
   CASE WHEN count(raw_value) % 3 <> 2 THEN min(unit) END AS unit,
   CASE WHEN l_orderkey % 30 = 0 THEN 'draft' ELSE 'frozen' END AS sample_status
-FROM ({RECORDED}) AS recorded WHERE l_orderkey % 3 <> 1
+FROM ({RECORDED}) AS recorded
 GROUP BY registry, extraction_run_id, project_id, document_version_id, field_name, l_orderkey
 """
 

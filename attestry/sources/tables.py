@@ -31,17 +31,26 @@ def with_result_key(result: DataFrame, volatile: Sequence[str] = VOLATILE) -> Da
 def split_by_store(
     keyed: DataFrame, stored: DataFrame, identity: Sequence[str]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(new, reused, conflicting) rows of a keyed result against the stored ones.
+    """(new, reused, conflicting) rows of a keyed result against the stored ones and each other.
 
-    Equal content is reused; the same identity with other content is a conflict and is not written.
+    Equal content is reused; the same identity with other content, stored or in the same batch, is
+    a conflict and none of its rows is written.
     """
     identity = list(identity)
     known = stored.select("result_key").distinct()
     taken = stored.select(*identity, F.col("result_key").alias("_stored_key")).distinct()
     reused = keyed.join(known, "result_key", "left_semi")
     unseen = keyed.join(known, "result_key", "left_anti")
-    conflicting = unseen.join(taken.select(*identity).distinct(), identity, "left_semi")
-    fresh = unseen.join(taken.select(*identity).distinct(), identity, "left_anti")
+    contents = unseen.groupBy(*identity).agg(
+        F.min("result_key").alias("_low"), F.max("result_key").alias("_high")
+    )
+    disputed = (
+        taken.select(*identity)
+        .unionByName(contents.where("_low <> _high").select(*identity))
+        .distinct()
+    )
+    conflicting = unseen.join(disputed, identity, "left_semi")
+    fresh = unseen.join(disputed, identity, "left_anti")
     once = fresh.dropDuplicates([*identity, "result_key"])
     return once, reused, conflicting
 

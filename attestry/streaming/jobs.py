@@ -56,18 +56,28 @@ def stream_ingest(arriving: DataFrame, target: str, checkpoint: str) -> Streamin
 
 
 def fold_batch(
-    batch: DataFrame, batch_id: int, candidates: DataFrame, pages: DataFrame | None, target: str
+    batch: DataFrame,
+    batch_id: int,
+    candidates: DataFrame,
+    pages: DataFrame | None,
+    target: str,
+    verdicts: DataFrame | None = None,
 ) -> None:
     """Apply one micro-batch of decisions on top of the heads of the projects it touches.
 
     The batch continues from the stored heads and log instead of folding the history again. Heads of
-    untouched projects are not read beyond the semi join that leaves them out.
+    untouched projects are not read beyond the semi join that leaves them out. What bars an approval
+    is either checked against ``pages`` or given as ``verdicts`` (decision_id, created_at,
+    blocked_codes).
     """
     spark = batch.sparkSession
     none = spark.createDataFrame(
         [], "decision_id string, created_at timestamp, blocked_codes array<string>"
     )
-    verdicts = none if pages is None else replacement_verdicts(batch, candidates, pages)
+    if verdicts is None:
+        verdicts = none if pages is None else replacement_verdicts(batch, candidates, pages)
+    else:
+        verdicts = verdicts.join(batch.select("decision_id").distinct(), "decision_id", "left_semi")
     touched = (
         batch.select("candidate_id")
         .distinct()
@@ -99,13 +109,16 @@ def stream_heads(
     pages: DataFrame | None,
     target: str,
     checkpoint: str,
+    verdicts: DataFrame | None = None,
 ) -> StreamingQuery:
     """Keep heads current from a streaming DataFrame of decisions."""
     return (
         decisions.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(
-            lambda batch, batch_id: fold_batch(batch, batch_id, candidates, pages, target)
+            lambda batch, batch_id: fold_batch(
+                batch, batch_id, candidates, pages, target, verdicts
+            )
         )
         .start()
     )

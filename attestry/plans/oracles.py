@@ -208,9 +208,16 @@ FROM ({LINES}) l JOIN documents d ON d.doc_id = l.parsed_document_id
 """
 
 # ------------------------------------------------------------------- manifest and versions
-MANIFEST = """SELECT source || '/' || doc_id || '.txt' AS relative_path,
-  octet_length(encode(text)) AS size_bytes, sha256(text) AS sha256, 'text/plain' AS content_type
-FROM documents"""
+MANIFEST = """SELECT relative_path, size_bytes, sha256, CASE WHEN relative_path LIKE '%.PDF'
+    THEN 'application/pdf' WHEN relative_path LIKE '%.txt' THEN 'text/plain'
+    ELSE 'application/octet-stream' END AS content_type,
+  CASE WHEN contains(relative_path, '/') THEN source END AS project_id
+FROM (SELECT source, CASE WHEN doc_id % 13 = 0 THEN '' ELSE source || '/' END
+    || CASE WHEN doc_id % 17 = 0 THEN '.' WHEN doc_id % 11 = 0 THEN '_' ELSE '' END || doc_id
+    || CASE WHEN doc_id % 5 = 0 THEN '.PDF' WHEN doc_id % 7 = 0 THEN '' ELSE '.txt' END AS relative_path,
+  octet_length(encode(text)) AS size_bytes, sha256(text) AS sha256, doc_id FROM documents)
+WHERE doc_id % 17 <> 0"""
+ORACLES["file_manifest"] = MANIFEST
 ORACLES["manifest_header"] = f"""
 SELECT count(*) AS row_count, sum(size_bytes) AS total_bytes FROM ({MANIFEST})
 """

@@ -159,19 +159,26 @@ def read_parsed_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 # ------------------------------------------------------------------------------- manifest
 def _document_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
-        F.concat_ws("/", "source", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias(
-            "relative_path"
-        ),
-        F.octet_length("text").cast("long").alias("size_bytes"),
-        F.sha2("text", 256).alias("sha256"),
-        F.lit("text/plain").alias("content_type"),
+    """Documents as files: some hidden, some with an underscore, some in the root, of several types."""
+    number = F.col("doc_id").cast("string")
+    name = F.concat(
+        F.when(F.col("doc_id") % 17 == 0, ".").when(F.col("doc_id") % 11 == 0, "_").otherwise(""),
+        number,
+        F.when(F.col("doc_id") % 5 == 0, ".PDF").when(F.col("doc_id") % 7 == 0, "").otherwise(".txt"),
+    )
+    path = F.when(F.col("doc_id") % 13 == 0, name).otherwise(F.concat_ws("/", "source", name))
+    return manifest.describe_files(
+        table(spark, folder, "documents").select(
+            path.alias("relative_path"), F.encode("text", "UTF-8").alias("content")
+        )
     )
 
 
 @query
 def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    return manifest.file_manifest(spark, folder)
+    return _document_manifest(spark, folder).select(
+        "relative_path", "size_bytes", "sha256", "content_type", "project_id"
+    )
 
 
 @query
@@ -181,7 +188,9 @@ def manifest_header(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def manifest_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return manifest.sample_manifest(_document_manifest(spark, folder), 60, 20, 20, seed=7)
+    return manifest.sample_manifest(_document_manifest(spark, folder), 60, 20, 20, seed=7).select(
+        "relative_path", "size_bytes", "sha256", "content_type", "sample_split"
+    )
 
 
 # ------------------------------------------------------------------------------- versions

@@ -133,7 +133,7 @@ latest AS (SELECT candidate_id, arg_max(status, (created_at, decision_id)) AS st
 heads AS (SELECT project_id, field_name, 'F' || arg_max(decision_id, (created_at, decision_id))
     AS fact_id FROM log WHERE status = 'approved' GROUP BY 1, 2),
 flagged AS (SELECT a.*, coalesce(l.state, 'pending') AS review_state, coalesce(l.n, 0) AS decision_count,
-    h.fact_id AS current_fact_id, CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0 END AS evidence_count,
+    h.fact_id AS current_fact_id, CASE WHEN validation_status <> 'missing' THEN 1 ELSE 0 END AS evidence_count,
     ({_CRITICAL}) AS critical, len(list_filter(c, lambda x: regexp_matches(x, {_HIGH}))) > 0 AS high,
     ({_NORMAL}) AS normal
   FROM candidates a LEFT JOIN latest l ON l.candidate_id = a.candidate_id

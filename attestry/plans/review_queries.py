@@ -69,11 +69,14 @@ def imported_evidence(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def observation_mismatches(spark: SparkSession, folder: str) -> DataFrame:
-    """Reports checked against extractions of which some lost a row and some changed a value."""
+    """Reports checked against extractions of which some moved a row and some changed a value."""
     checks = _checks(spark, folder)
     index = F.col("observation_index")
-    stored = adapters.observations(spark, folder).where(index % 211 != 0).withColumn(
-        "unit", F.when(index % 223 == 0, "changed").otherwise(F.col("unit"))
+    stored = adapters.observations(spark, folder).withColumns(
+        {
+            "unit": F.when(index % 223 == 0, "changed").otherwise(F.col("unit")),
+            "observation_index": F.when(index % 211 == 0, -1 - index).otherwise(index),
+        }
     )
     return review.observation_violations(checks, stored)
 
@@ -144,7 +147,8 @@ def _latest_approved(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _quotes(spark: SparkSession, folder: str) -> DataFrame:
-    return _candidates(spark, folder).where("user_id % 2 = 0").select(
+    """Every candidate that found a value quotes its page."""
+    return _candidates(spark, folder).where("validation_status <> 'missing'").select(
         "candidate_id",
         F.lit(0).alias("evidence_index"),
         F.lit("V").alias("document_version_id"),

@@ -308,7 +308,7 @@ def event_decisions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
     return decisions, candidates, verdicts
 
 
-# Review: one candidate per user and field that was ever decided.
+# Review: one candidate per user and field; those no event ever touched are undecided.
 REVIEW_CANDIDATES = f"""
 SELECT DISTINCT candidate_id, 'R' || CAST(user_id AS STRING) AS validation_run_id,
   CAST(event_id % 6 AS INT) AS observation_index, 'verra' AS registry,
@@ -320,16 +320,18 @@ SELECT DISTINCT candidate_id, 'R' || CAST(user_id AS STRING) AS validation_run_i
     WHEN 3 THEN 'confidence_unknown' WHEN 4 THEN 'date_format_unresolved,confidence_unknown'
     WHEN 5 THEN 'ambiguous_abstention' ELSE 'evidence_offsets_missing' END AS codes
 FROM (SELECT e.*, 'C' || CAST(user_id AS STRING) || '-' || CAST(event_id % 6 AS STRING)
-        AS candidate_id, {_EVENT_FIELD} AS field_name FROM {{events}} AS e) AS named
+        AS candidate_id, {_EVENT_FIELD} AS field_name
+      FROM (SELECT user_id, event_id FROM (SELECT DISTINCT user_id FROM {{events}}) AS users
+            CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5)) AS fields(event_id)) AS e) AS named
 """
 REVIEW_DECISIONS = f"""
 SELECT decision_id, candidate_id, project_id, field_name, status, created_at
-FROM ({EVENT_DECISIONS}) AS decided WHERE event_id % 6 <> 1 AND project_id NOT LIKE '%7'
+FROM ({EVENT_DECISIONS}) AS decided
 """
 REVIEW_RUNS = """
 SELECT DISTINCT 'R' || CAST(user_id AS STRING) AS pipeline_run_id,
   CAST('2024-01-05' AS TIMESTAMP) + CAST(user_id AS INT) * INTERVAL 1 HOUR AS finished_at
-FROM {events} WHERE user_id % 9 <> 0
+FROM {events}
 """
 
 # Identity tables around the recorded reports, with a few broken ones.
@@ -385,7 +387,8 @@ FACT_FIELDS = (
 )
 PROJECT_FACTS = " UNION ALL ".join(
     f"SELECT 'verra' AS registry, 'P' || CAST(c_custkey AS STRING) AS project_id, c_custkey, "
-    f"'{field}' AS field_name, 'F' || CAST(c_custkey AS STRING) || '-{n}' AS fact_id, "
+    f"CASE WHEN (c_custkey + {n}) % 23 = 0 THEN 'unlisted_remark' ELSE '{field}' END "
+    f"AS field_name, 'F' || CAST(c_custkey AS STRING) || '-{n}' AS fact_id, "
     + {
         "methodology_name": "CASE WHEN c_custkey % 9 = 0 THEN '\"AMS-I.D\"' ELSE '\"ACM0002\"' END",
         "methodology_version": "CASE WHEN c_custkey % 13 = 0 THEN '\"  \"' ELSE '\"v1\"' END",
@@ -405,7 +408,7 @@ PROJECT_FACTS = " UNION ALL ".join(
     )
     + " AS unit, 'D' || CAST(c_custkey AS STRING) AS parsed_document_id, "
     "'V' || CAST(c_custkey AS STRING) AS document_version_id "
-    f"FROM {{customer}} WHERE (c_custkey + {n}) % 23 <> 0"
+    "FROM {customer}"
     for n, field in enumerate(FACT_FIELDS)
 )
 PROJECT_PAGES = """

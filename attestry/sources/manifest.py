@@ -45,11 +45,10 @@ def file_manifest(
     document_type: str | None = None,
     declared_version: str | None = None,
 ) -> DataFrame:
-    """One row per visible file below ``root`` with its size, hash and content type.
+    """One row per file below ``root``, but for hidden ones, with its size, hash and content type.
 
-    Files are hashed where they are read. Spark skips names that start with a dot or underscore;
-    names below hidden folders are filtered here. The project is the first path segment of a file
-    that does not lie directly in the root, unless one is given.
+    Files are hashed where they are read. Spark's own listing leaves out names that start with an
+    underscore; where such files matter, list and read them another way and use ``describe_files``.
     """
     files = (
         spark.read.format("binaryFile")
@@ -60,25 +59,36 @@ def file_manifest(
     base = root.rstrip("/")
     below = F.regexp_replace(F.col("path"), "^(?:[a-z0-9]+:/*)?", "/")
     relative = F.expr(f"substring(_below, instr(_below, '{base}/') + {len(base) + 1})")
+    named = files.withColumn("_below", below).select(relative.alias("relative_path"), "content")
+    return describe_files(named, registry, project_id, document_type, declared_version)
+
+
+def describe_files(
+    files: DataFrame,
+    registry: str | None = None,
+    project_id: str | None = None,
+    document_type: str | None = None,
+    declared_version: str | None = None,
+) -> DataFrame:
+    """The manifest of (relative_path, content) rows; paths with a part that starts with a dot go.
+
+    The project is the first path segment of a file that does not lie directly in the root, unless
+    one is given. Names that start with an underscore are files like any other.
+    """
     segments = F.split("relative_path", "/")
-    return (
-        files.withColumn("_below", below)
-        .withColumn("relative_path", relative)
-        .where(~F.col("relative_path").rlike(r"(^|/)\."))
-        .select(
-            "relative_path",
-            F.col("length").alias("size_bytes"),
-            F.sha2("content", 256).alias("sha256"),
-            content_type(F.col("relative_path")).alias("content_type"),
-            F.lit(registry).cast("string").alias("registry"),
-            F.lit(project_id).cast("string").alias("project_id")
-            if project_id is not None
-            else F.when(F.size(segments) > 1, segments[0]).alias("project_id"),
-            F.lit(document_type).cast("string").alias("document_type"),
-            F.lit(None).cast("string").alias("source_url"),
-            F.lit(declared_version).cast("string").alias("declared_version"),
-            F.lit(None).cast("string").alias("sample_split"),
-        )
+    return files.where(~F.col("relative_path").rlike(r"(^|/)\.")).select(
+        "relative_path",
+        F.octet_length("content").cast("long").alias("size_bytes"),
+        F.sha2("content", 256).alias("sha256"),
+        content_type(F.col("relative_path")).alias("content_type"),
+        F.lit(registry).cast("string").alias("registry"),
+        F.lit(project_id).cast("string").alias("project_id")
+        if project_id is not None
+        else F.when(F.size(segments) > 1, F.get(segments, F.lit(0))).alias("project_id"),
+        F.lit(document_type).cast("string").alias("document_type"),
+        F.lit(None).cast("string").alias("source_url"),
+        F.lit(declared_version).cast("string").alias("declared_version"),
+        F.lit(None).cast("string").alias("sample_split"),
     )
 
 

@@ -488,17 +488,22 @@ REPLIED = f"""recorded AS ({RECORDED}),
 replied AS (SELECT *, extraction_run_id || '-' || page_number AS request_id, l_suppkey % 100 AS s,
     'Land ' || (l_suppkey % 25) AS land FROM recorded)"""
 ORACLES["reply_violations"] = f"""
-WITH {REPLIED} SELECT request_id, CASE s WHEN 1 THEN 'quote_absent' WHEN 2 THEN 'quote_ambiguous'
+WITH {REPLIED} SELECT CASE s WHEN 14 THEN 'Z' ELSE '' END || request_id AS request_id,
+  CASE s WHEN 1 THEN 'quote_absent' WHEN 2 THEN 'quote_ambiguous'
   WHEN 3 THEN 'page_not_selected' WHEN 4 THEN 'fields_not_covered' WHEN 5 THEN 'candidate_incomplete'
-  ELSE 'reply_invalid' END AS rule FROM replied WHERE s BETWEEN 1 AND 6
+  WHEN 11 THEN 'raw_value_not_text' WHEN 12 THEN 'pages_not_unique'
+  WHEN 13 THEN 'pages_page_outside_document' WHEN 14 THEN 'request_unknown' WHEN 15 THEN 'unknown_key'
+  ELSE 'reply_invalid' END AS rule FROM replied WHERE s BETWEEN 1 AND 6 OR s BETWEEN 11 AND 15
 """
 ORACLES["reply_observations"] = f"""
 WITH {REPLIED} SELECT request_id, 0 AS observation_index, 'country' AS field_name,
-  'string' AS value_type, '"' || land || '"' AS value_json, NULL AS missing_reason,
+  CASE s WHEN 7 THEN 'int' WHEN 8 THEN 'double' WHEN 10 THEN 'bool' ELSE 'string' END AS value_type,
+  CASE s WHEN 7 THEN '12' WHEN 8 THEN '12.0' WHEN 9 THEN '"12"' WHEN 10 THEN 'true'
+    ELSE '"' || land || '"' END AS value_json, NULL AS missing_reason,
   instr(text, 'Host country: ' || land) - 1 AS char_start
-FROM replied WHERE s NOT BETWEEN 1 AND 6 UNION ALL
+FROM replied WHERE s NOT BETWEEN 1 AND 6 AND s NOT BETWEEN 11 AND 15 UNION ALL
 SELECT request_id, 1, 'validator_name', NULL, NULL, 'not_found', NULL
-FROM replied WHERE s NOT BETWEEN 1 AND 6
+FROM replied WHERE s NOT BETWEEN 1 AND 6 AND s NOT BETWEEN 11 AND 15
 """
 ORACLES["extractor_union"] = f"""
 SELECT e AS extractor_name, field_name, count(*) AS observations

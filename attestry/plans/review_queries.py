@@ -533,11 +533,17 @@ def _replies(spark: SparkSession, folder: str):
     page = F.when(supplier == 3, F.col("page_number") + 1).otherwise(F.col("page_number"))
     second = F.when(supplier == 4, "installed_capacity_mw").otherwise("validator_name")
     reason = F.when(supplier == 5, "null").otherwise('"not_found"')
+    value = (
+        F.when(supplier == 7, "12").when(supplier == 8, "12.0").when(supplier == 9, '"12"')
+        .when(supplier == 10, "true").otherwise(F.concat(F.lit('"'), land, F.lit('"')))
+    )
+    raw_value = F.when(supplier == 11, "5").otherwise(F.concat(F.lit('"'), land, F.lit('"')))
+    extra = F.when(supplier == 15, '"note":1,').otherwise("")
     body = F.when(supplier == 6, F.lit('{"observations": 1')).otherwise(
         F.concat(
-            F.lit('{"observations":[{"field_name":"country","raw_value":"'), land,
-            F.lit('","normalized_value":"'), land,
-            F.lit('","unit":null,"evidence":[{"page_number":'), page.cast("string"),
+            F.lit('{"observations":[{'), extra, F.lit('"field_name":"country","raw_value":'), raw_value,
+            F.lit(',"normalized_value":'), value,
+            F.lit(',"unit":null,"evidence":[{"page_number":'), page.cast("string"),
             F.lit(',"quote":"'), quote,
             F.lit('"}],"missing_reason":null},{"field_name":"'), second,
             F.lit('","raw_value":null,"normalized_value":null,"unit":null,"evidence":[],'
@@ -545,10 +551,17 @@ def _replies(spark: SparkSession, folder: str):
             reason, F.lit("}]}"),
         )
     )
-    stored = rows.select("request_id", body.alias("body"))
+    stored = rows.select(
+        F.when(supplier == 14, F.concat(F.lit("Z"), "request_id")).otherwise(F.col("request_id"))
+        .alias("request_id"),
+        body.alias("body"),
+    )
     requests = rows.select(
         "request_id", "registry", "project_id", "document_version_id", "parsed_document_id",
-        F.array("page_number").alias("page_numbers"),
+        F.when(supplier == 12, F.array("page_number", "page_number"))
+        .when(supplier == 13, F.array("page_number", F.lit(999_999)))
+        .otherwise(F.array("page_number"))
+        .alias("page_numbers"),
         F.array(F.lit("country"), F.lit("validator_name")).alias("requested_fields"),
     )
     return replies.ground_replies(stored, requests, adapters.carbon_pages(spark, folder))

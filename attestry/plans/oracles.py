@@ -359,7 +359,7 @@ kept AS (SELECT *, greatest(0, match_start - 120) AS char_start,
     WHEN 'number' THEN amount IS NOT NULL ELSE true END),
 candidates AS (SELECT parsed_document_id, field_position, pattern_position, field_name, raw_value,
     CASE kind WHEN 'number' THEN CAST(amount AS VARCHAR) WHEN 'integer' THEN raw_value
-      WHEN 'keyword' THEN '"grid-connected"' WHEN 'text' THEN '"' || substr(t, 1, 120) || '"'
+      WHEN 'keyword' THEN '"grid-connected"' WHEN 'text' THEN '"' || t || '"'
       ELSE '"' || t || '"' END AS value_json, unit, CAST(NULL AS VARCHAR) AS missing_reason,
     CASE kind WHEN 'number' THEN 'broad_numeric_rule' ||
         CASE WHEN unit IS NULL THEN ',unit_not_verified' ELSE '' END

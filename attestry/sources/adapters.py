@@ -142,7 +142,10 @@ FROM (
 
 def recorded(spark: SparkSession, folder: str) -> DataFrame:
     """Pages and observations in one frame; the narrower adapters project from it."""
-    return spark.sql(RECORDED, lineitem=table(spark, folder, "lineitem"))
+    # Lines are dealt by order while they are narrow, so every later step has a document's pages
+    # together and as many tasks as the session's shuffles, however the file was laid out.
+    lines = table(spark, folder, "lineitem").repartition("l_orderkey")
+    return spark.sql(RECORDED, lineitem=lines)
 
 
 def carbon_pages(spark: SparkSession, folder: str) -> DataFrame:

@@ -69,7 +69,7 @@ def test_positions_in_groups_of_any_size(spark):
     rows = [("hot", n, str(n)) for n in range(500)] + [("cold", n, "c") for n in range(3)]
     df = spark.createDataFrame(rows, "k string, n int, v string")
     out = ordered_positions(
-        df, ["k"], ["n"], "p", previous={"v": "before"}, carried={"v": "kept"}, blocks=7
+        df, ["k"], ["n"], "p", previous={"v": "before"}, carried={"v": "kept"}
     )
     for row in out.collect():
         assert row.p == row.n + 1

@@ -138,6 +138,26 @@ SELECT doc_id AS parsed_document_id, dimension_id, level, pattern, char_start, c
   substr(text, char_start + 1, char_end - char_start) AS quote FROM placed
 """
 
+# Conversations are documents of many pages: a pattern counts once, at its first turn.
+_TURNS = (("doc_id AS parsed_document_id", "conv_id AS parsed_document_id"), ("FROM documents", "FROM conversations"))
+_EVIDENCE_OF_TURNS = [
+    part.replace("SELECT doc_id, text,", "SELECT conv_id AS doc_id, turn, text,").replace(*_TURNS[1])
+    for part in _EVIDENCE
+]
+ORACLES["turn_keyword_totals"] = ORACLES["keyword_totals"].replace(*_TURNS[0]).replace(*_TURNS[1])
+ORACLES["turn_keyword_evidence"] = f"""
+WITH found AS ({" UNION ALL ".join(_EVIDENCE_OF_TURNS)}),
+firsts AS (SELECT * FROM found QUALIFY
+  row_number() OVER (PARTITION BY doc_id, dimension_id, position ORDER BY turn) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, dimension_id ORDER BY position) AS rn
+           FROM firsts),
+placed AS (SELECT *, greatest(0, s - 120) AS char_start, least(length(text), s + n + 120) AS char_end
+           FROM ranked)
+SELECT doc_id AS parsed_document_id, turn AS page_number, dimension_id, level, pattern,
+  CAST(rn AS INT) AS evidence_rank, char_start, char_end,
+  substr(text, char_start + 1, char_end - char_start) AS quote FROM placed
+"""
+
 # ---------------------------------------------------------------------------------- pages
 _NON_SPACE = r"length(regexp_replace({0}, '[\s\x0b\x1c-\x1f\x{{85}}\p{{Z}}]', '', 'g'))"
 _ALNUM = r"length(regexp_replace({0}, '[^\p{{L}}\p{{N}}]', '', 'g'))"

@@ -57,6 +57,20 @@ def keyword_evidence(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def turn_keyword_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return keywords.keyword_totals(adapters.turn_pages(spark, folder))
+
+
+@query
+def turn_keyword_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    """All evidence of documents of many pages, each pattern from its first page."""
+    return keywords.keyword_evidence(adapters.turn_pages(spark, folder), most=None).select(
+        "parsed_document_id", "page_number", "dimension_id", "level", "pattern", "evidence_rank",
+        "char_start", "char_end", "quote",
+    )
+
+
 # ---------------------------------------------------------------------------------- pages
 @query
 def text_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -205,6 +205,16 @@ def document_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def turn_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as documents, their turns as pages."""
+    return table(spark, folder, "conversations").select(
+        F.col("conv_id").alias("parsed_document_id"),
+        F.col("conv_id").alias("document_version_id"),
+        F.col("turn").alias("page_number"),
+        "text",
+    )
+
+
 def line_pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(
         F.col("doc_id").alias("parsed_document_id"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BLOCK = 20_000
+ROWS_PER_BLOCK = 1_000
 
 
 def blocks_for(rows: Column) -> Column:

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from attestry.llm.words import portions, text_bytes
 from attestry.session import materialize
 
-PORTION_BYTES = 8 << 20
+PORTION_BYTES, COUNTED_BYTES = 8 << 20, 1 << 20
 LEAST_LENGTH = 16
-#: Bounds of what the forest is fitted on: documents read for word statistics and findings, findings kept.
-SAMPLE_DOCS, SAMPLE_FINDINGS = 4_000, 8_000
+#: What the forest is fitted on: so many different values at most of each stratum of the findings of all documents.
+STRATUM_FINDINGS = 2_000
+FORMAT, NAMED, HARD, PLAIN = "format", "named", "hard", "plain"
 TREES, DEPTH, LEAF_ROWS = 40, 8, 3
 NEAR_BYTES = 40
 FOUR_GRAMS = 4_096
@@ -127,12 +128,16 @@ class Forest:
 
 
 def grow_forest(values: np.ndarray, label: np.ndarray, language: Language, seed: int = 7) -> Forest:
-    """Bootstrap trees by Gini impurity, each split over a random part of the features."""
+    """Bootstrap trees by Gini impurity, each split over a random part of the features.
+
+    Every bootstrap takes half its rows from each class, so a single secret weighs as much as all false findings.
+    """
+    classes = [x for x in (np.flatnonzero(label < 0.5), np.flatnonzero(label >= 0.5)) if len(x)]
     rng = np.random.default_rng(seed)
     part = max(2, int(np.sqrt(values.shape[1])) + 1)
     trees = []
     for _ in range(TREES if len(label) else 0):
-        rows = rng.integers(0, len(label), len(label))
+        rows = np.concatenate([rng.choice(x, max(LEAF_ROWS, len(label) // len(classes))) for x in classes])
         nodes: list[list] = []
 
         def grow(mine: np.ndarray, depth: int) -> int:
@@ -167,57 +172,103 @@ def grow_forest(values: np.ndarray, label: np.ndarray, language: Language, seed:
     return Forest(language, tuple(trees))
 
 
-def learn_language(sample: DataFrame) -> Language:
-    """Character transitions and frequent four-letter runs of the words of a bounded sample."""
+def _word_counts(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Times of every letter pair and four-letter run, inside words shorter than ``LEAST_LENGTH``, as numbers to base 26."""
+    slots = _SLOT[np.frombuffer(joined, np.uint8)]
+    inside = np.zeros(len(slots) + 2, dtype=bool)
+    inside[1:-1] = slots < 26
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    short = ends - starts < LEAST_LENGTH
+    left = np.zeros(len(slots) + 1, dtype=np.int64)
+    np.add.at(left, starts[short], 1)
+    np.add.at(left, ends[short], -1)
+    word = np.cumsum(left[:-1]) > 0
+    out = []
+    for size in (2, 4):
+        whole = np.ones(max(0, len(slots) - size + 1), dtype=bool)
+        code = np.zeros(len(whole), dtype=np.int64)
+        for k in range(size):
+            whole &= word[k : k + len(whole)]
+            code = code * 26 + slots[k : k + len(whole)]
+        out.append(np.bincount(code[whole], minlength=26**size))
+    return out[0], out[1]
+
+
+def learn_language(docs: DataFrame) -> Language:
+    """Character transitions and frequent four-letter runs of the words of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for portion in portions(batches, "text", PORTION_BYTES):
-            pairs = np.zeros(38 * 38, dtype=np.int64)
-            grams: dict[bytes, int] = {}
-            for text in text_bytes(portion.column("text")):
-                for word in _LETTERS.findall(text):
-                    if len(word) < LEAST_LENGTH:
-                        slots = _SLOT[np.frombuffer(word, np.uint8)]
-                        pairs += np.bincount(slots[:-1] * 38 + slots[1:], minlength=38 * 38)
-                        low = word.lower()
-                        for k in range(len(low) - 3):
-                            grams[low[k : k + 4]] = grams.get(low[k : k + 4], 0) + 1
-            used = np.flatnonzero(pairs)
-            yield pa.RecordBatch.from_pydict({
-                "pair": pa.array(used.astype(np.int32)), "gram": pa.nulls(len(used), pa.binary()), "times": pa.array(pairs[used]),
-            })
+        totals = [np.zeros(26**2, dtype=np.int64), np.zeros(26**4, dtype=np.int64)]
+        for portion in portions(batches, "text", COUNTED_BYTES):
+            for total, more in zip(totals, _word_counts(b" ".join(text_bytes(portion.column("text"))))):
+                total += more
+        for size, total in zip((2, 4), totals):
+            used = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({
-                "pair": pa.nulls(len(grams), pa.int32()), "gram": pa.array(list(grams), pa.binary()),
-                "times": pa.array(list(grams.values()), pa.int64()),
+                "size": pa.array(np.full(len(used), size, dtype=np.int32)), "code": pa.array(used.astype(np.int32)),
+                "times": pa.array(total[used]),
             })
 
     counted = materialize(
-        sample.select("text").mapInArrow(run, "pair int, gram binary, times long")
-        .groupBy("pair", "gram").agg(F.sum("times").alias("times"))
+        docs.select("text").mapInArrow(run, "size int, code int, times long")
+        .groupBy("size", "code").agg(F.sum("times").alias("times"))
     )
-    counts = np.zeros(38 * 38)
-    for row in counted.where(F.col("pair").isNotNull()).collect():
-        counts[row["pair"]] = row["times"]
-    top = counted.where(F.col("gram").isNotNull()).orderBy(F.col("times").desc(), "gram").limit(FOUR_GRAMS)
-    return Language.of(counts.reshape(38, 38), [bytes(row["gram"]) for row in top.select("gram").collect()])
+    counts = np.zeros((38, 38))
+    for row in counted.where("size = 2").collect():
+        counts[divmod(row["code"], 26)] = row["times"]
+    top = counted.where("size = 4").orderBy(F.col("times").desc(), "code").limit(FOUR_GRAMS).collect()
+    letters = b"abcdefghijklmnopqrstuvwxyz"
+    return Language.of(counts, [bytes(letters[row["code"] // 26**k % 26] for k in (3, 2, 1, 0)) for row in top])
 
 
-_ROW = "doc_id long, start long, end long, value_sha256 string, label int, features array<double>"
+def stratum(text: bytes, start: int, end: int) -> str | None:
+    """The part of the sample that a finding belongs to; None if the rules do not label it.
 
+    Secrets by key format and by naming word; false findings that look like secrets (mixed, named or
+    with a sample word), and plain words.
+    """
+    label = rule_label(text, start, end)
+    if label is None:
+        return None
+    value = text[start:end]
+    if label:
+        return FORMAT if FORMATS.match(value) else NAMED
+    named = NAMING.search(text[max(0, start - NEAR_BYTES) : start]) is not None
+    return HARD if named or re.search(rb"[0-9]", value) or SAMPLE_WORDS.search(value) else PLAIN
 
-def candidates(docs: DataFrame, language: Language) -> DataFrame:
-    """Candidates of ``docs`` (doc_id, text, path) with the label of the rules and their features."""
-    sent = docs.sparkSession.sparkContext.broadcast(language)
+
+def labelled_values(docs: DataFrame) -> DataFrame:
+    """At most ``STRATUM_FINDINGS`` values (value, label) of each stratum, from the findings of all documents.
+
+    Values are chosen by their hash, so reruns agree; one that is a secret anywhere counts as a secret.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _found(batches, sent.value):
+        for portion in portions(batches, "text", PORTION_BYTES):
+            found: set[tuple[bytes, str]] = set()
+            for text in text_bytes(portion.column("text")):
+                for start, end in spans(text):
+                    kind = stratum(text, start, end)
+                    if kind is not None:
+                        found.add((hashlib.sha256(text[start:end]).digest(), kind))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array([r[0] for r in rows], pa.int64()), "start": pa.array([r[1] for r in rows], pa.int64()),
-                "end": pa.array([r[2] for r in rows], pa.int64()), "value_sha256": pa.array([r[3] for r in rows], pa.string()),
-                "label": pa.array([r[4] for r in rows], pa.int32()), "features": pa.array([r[5] for r in rows], pa.list_(pa.float64())),
+                "value": pa.array([x for x, _ in found], pa.binary()), "stratum": pa.array([x for _, x in found], pa.string()),
             })
 
-    return docs.select("doc_id", "text", "path").mapInArrow(run, _ROW)
+    order = F.array_position(F.array(*map(F.lit, (PLAIN, HARD, NAMED, FORMAT))), F.col("stratum"))
+    found = materialize(
+        docs.select("text").mapInArrow(run, "value binary, stratum string")
+        .groupBy("value").agg(F.max(order).alias("rank"))
+    )
+    parts = [found.where(F.col("rank") == k).orderBy("value").limit(STRATUM_FINDINGS) for k in (1, 2, 3, 4)]
+    chosen = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    return chosen.select("value", (F.col("rank") > 2).cast("int").alias("label"))
+
+
+def spans(text: bytes) -> list[tuple[int, int]]:
+    """The candidates of a text in order."""
+    return [match.span() for match in CANDIDATE.finditer(text)]
 
 
 def _found(batches: Iterator[pa.RecordBatch], language: Language) -> Iterator[list[tuple]]:
@@ -225,31 +276,45 @@ def _found(batches: Iterator[pa.RecordBatch], language: Language) -> Iterator[li
         rows = []
         ids, paths = portion.column("doc_id").to_pylist(), portion.column("path").to_pylist()
         for doc, text, path in zip(ids, text_bytes(portion.column("text")), paths):
-            for match in CANDIDATE.finditer(text):
-                start, end = match.span()
+            for start, end in spans(text):
                 rows.append((
-                    doc, start, end, hashlib.sha256(match[0]).hexdigest(), rule_label(text, start, end),
-                    describe(text, start, end, path or "", language),
+                    doc, start, end, hashlib.sha256(text[start:end]).hexdigest(), FORMATS.match(text[start:end]) is not None
+                    and rule_label(text, start, end) == 1, describe(text, start, end, path or "", language),
                 ))
         yield rows
 
 
 def train(docs: DataFrame) -> Forest:
-    """A forest from the labelled findings of at most ``SAMPLE_DOCS`` documents (smallest id hashes).
+    """A forest from labelled findings of all documents, a bounded number of each stratum.
 
-    At most ``SAMPLE_FINDINGS`` findings take part, again by hash, so reruns agree.
+    Word statistics come from all documents too. Of a value's findings with its label, the one with
+    the greatest features takes part. Each task keeps one row per value.
     """
-    chosen = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    sample = materialize(docs.join(F.broadcast(chosen), "doc_id"))
-    language = learn_language(sample)
-    labelled = (
-        candidates(sample, language).where(F.col("label").isNotNull())
-        .groupBy("value_sha256").agg(F.max("label").alias("label"), F.max("features").alias("features"))
-        .orderBy(F.col("label").desc(), "value_sha256").limit(SAMPLE_FINDINGS)
-        .select("label", "features").toArrow()
+    language = learn_language(docs)
+    chosen = {bytes(row["value"]): row["label"] for row in labelled_values(docs).collect()}
+    sent = docs.sparkSession.sparkContext.broadcast((language, chosen))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        language, chosen = sent.value
+        best: dict[bytes, list[float]] = {}
+        for portion in portions(batches, "text", PORTION_BYTES):
+            for text, path in zip(text_bytes(portion.column("text")), portion.column("path").to_pylist()):
+                for start, end in spans(text):
+                    value = hashlib.sha256(text[start:end]).digest()
+                    if value in chosen and rule_label(text, start, end) == chosen[value]:
+                        features = describe(text, start, end, path or "", language)
+                        best[value] = max(best.get(value, features), features)
+        yield pa.RecordBatch.from_pydict({
+            "value": pa.array(list(best), pa.binary()), "features": pa.array(list(best.values()), pa.list_(pa.float64())),
+        })
+
+    fitted = (
+        docs.select("text", "path").mapInArrow(run, "value binary, features array<double>")
+        .groupBy("value").agg(F.max("features").alias("features")).orderBy("value").toArrow()
     )
-    values = np.array(labelled.column("features").to_pylist(), dtype=np.float64).reshape(-1, len(FEATURES))
-    return grow_forest(values, labelled.column("label").to_numpy().astype(np.float64), language)
+    values = np.array(fitted.column("features").to_pylist(), dtype=np.float64).reshape(-1, len(FEATURES))
+    label = np.array([chosen[x] for x in fitted.column("value").to_pylist()], dtype=np.float64)
+    return grow_forest(values, label, language)
 
 
 def scan_secrets(docs: DataFrame, forest: Forest, least: float = 0.5) -> DataFrame:
@@ -257,7 +322,7 @@ def scan_secrets(docs: DataFrame, forest: Forest, least: float = 0.5) -> DataFra
 
     Columns: doc_id, start and end (bytes of the UTF-8 text), value_sha256, score. Candidates are
     runs of at least 16 letters, digits and ``+/_-``; those scored below ``least`` are taken for
-    false findings. Null and empty texts have none; a null path is an empty one; equal rows give
+    false findings, but formats that only keys have score 1 whatever the forest was fitted on. Null and empty texts have none; a null path is an empty one; equal rows give
     equal findings each. Whole texts are read in the scan's own tasks, nothing moves.
     """
     sent = docs.sparkSession.sparkContext.broadcast(forest)
@@ -265,7 +330,7 @@ def scan_secrets(docs: DataFrame, forest: Forest, least: float = 0.5) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _found(batches, sent.value.language):
             values = np.array([r[5] for r in rows], dtype=np.float64).reshape(-1, len(FEATURES))
-            scores = sent.value.score(values)
+            scores = np.where([r[4] for r in rows], 1.0, sent.value.score(values))
             kept = [(r, s) for r, s in zip(rows, scores.tolist()) if s >= least]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array([r[0] for r, _ in kept], pa.int64()), "start": pa.array([r[1] for r, _ in kept], pa.int64()),

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -412,6 +413,46 @@ def test_secrets(spark, nothing):
     assert secrets.scan_secrets(table, empty).count() == 0
 
 
+def test_secrets_are_learned_from_all_documents(spark, monkeypatch):
+    """One secret among many documents, and more secrets than the bound: both classes take part."""
+    rng = random.Random(8)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    made = [Row(doc_id=k, text=sentence(rng, 4, "plain") + " antidisestablishment" + "abcdefgh"[k % 8], path="a") for k in range(6_000)]
+    order = {r.doc_id: k for k, r in enumerate(spark.range(6_000).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("doc_id")).collect())}
+    last = max(order, key=order.get)
+    key, token = "AKIA" + "QZ7XW2LM9KP4TR8V", hexes(40)
+    made[last] = Row(doc_id=last, text=f'{key} and token = "{token}" end', path="a")
+    table = spark.createDataFrame(made, "doc_id long, text string, path string").repartition(3)
+    got = secrets.scan_secrets(table, secrets.train(table)).collect()
+    assert {r.value_sha256 for r in got} == {hashlib.sha256(x.encode()).hexdigest() for x in (key, token)}
+    # A forest that never saw a secret still keeps key formats.
+    blind = secrets.train(table.where(F.col("doc_id") != last))
+    assert [r.value_sha256 for r in secrets.scan_secrets(table, blind).collect()] == [hashlib.sha256(key.encode()).hexdigest()]
+    # More secrets than the bound leave the false findings in the sample.
+    monkeypatch.setattr(secrets, "STRATUM_FINDINGS", 20)
+    many = spark.createDataFrame(
+        [Row(doc_id=k, text=f'token = "{hexes(40)}" x antidisestablishment{"abcdefgh"[k % 8]} y', path="a") for k in range(100)], "doc_id long, text string, path string"
+    )
+    sampled = secrets.labelled_values(many).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in sampled} == {0: 8, 1: 20}
+    assert secrets.scan_secrets(many, secrets.train(many)).count() == 100
+
+
+def test_word_statistics_equal_a_count_by_hand(spark):
+    texts = ["Abcd abcde xab1cd", None, "", "a" * 20 + " éabcd ABCD", "q"]
+    pairs, grams = secrets._word_counts(b" ".join(words.text_bytes(pa.array(texts))))
+    want_pairs, want_grams = {}, {}
+    for word in re.findall("[A-Za-z]+", " ".join(x or "" for x in texts)):
+        for size, want in ((2, want_pairs), (4, want_grams)):
+            for k in range(len(word) - size + 1 if len(word) < secrets.LEAST_LENGTH else 0):
+                code = 0
+                for c in word[k : k + size].lower():
+                    code = code * 26 + ord(c) - 97
+                want[code] = want.get(code, 0) + 1
+    assert {int(k): int(pairs[k]) for k in np.flatnonzero(pairs)} == want_pairs
+    assert {int(k): int(grams[k]) for k in np.flatnonzero(grams)} == want_grams
+
+
 # ---------------------------------------------------------------------------------- vectors
 def vectors(spark):
     rng = np.random.default_rng(9)

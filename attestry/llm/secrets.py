@@ -24,16 +24,31 @@ TREES, DEPTH, LEAF_ROWS = 40, 8, 3
 NEAR_BYTES = 40
 FOUR_GRAMS = 4_096
 
-CANDIDATE = re.compile(rb"(?<![0-9A-Za-z+/_\-])[0-9A-Za-z+/_\-]{%d,}(?![0-9A-Za-z+/_\-@])" % LEAST_LENGTH)
+CANDIDATE = re.compile(rb"(?<![0-9A-Za-z+/_\-])[0-9A-Za-z+/_\-]{%d,}(?![0-9A-Za-z+/_\-])" % LEAST_LENGTH)
 #: Words before a value that name a secret, and formats that only keys have (fixed values).
-NAMING = re.compile(rb"(?i)(pass(word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key|credential)s?[\"']?\s{0,3}[:=]\s{0,3}[\"']?$")
-FORMATS = re.compile(rb"^(A(KI|SI)A[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35})$")
+_NAME = (
+    rb"(?:pass(?:word|wd|phrase)?|pwd|(?<![a-z0-9])pw|token|secret|api[_-]?key|access[_-]?key|credential)s?"
+    rb"[\"']?\s{0,3}(?::=|[:=]=?=?>?)\s{0,3}"
+)
+NAMING = re.compile(rb"(?i)" + _NAME + rb"[\"']?$")
+#: On lower-cased texts that hold one of the parts.
+_NAME_PARTS, _NAMED = (b"pass", b"pw", b"token", b"secret", b"key", b"credential"), re.compile(_NAME)
+_NAMED_VALUE = re.compile(rb"\"(?P<a>[^\"\r\n]+)\"|'(?P<b>[^'\r\n]+)'|[\"']?(?P<c>[^\s\"']+)")
+_CHUNK = re.compile(rb"[^\s\"'<>]+")
+#: A password ends at the last @ of the authority; one that holds a slash at the first @.
+_PASSWORD = rb":(?!//)(?P<a>[^/?#]+@|(?:(?!://)[^@])+@)(?=[0-9A-Za-z\[_\x80-\xFF])"
+_IN_URL, _AFTER_USER = re.compile(rb"://[^/?#@:]*" + _PASSWORD), re.compile(rb"[^/?#@:]+" + _PASSWORD)
+_URL_USER = re.compile(rb"://[^\s/?#@:\"'<>]*:$")
+_FORMAT = rb"(?:A(?:KI|SI)A[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35})"
+FORMATS = re.compile(rb"^" + _FORMAT + rb"$")
+_FORMAT_PARTS = (b"AKIA", b"ASIA", b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_", b"xox", b"sk_live_", b"AIza")
+_FORMAT_RUN = re.compile(rb"(?<![0-9A-Za-z])" + _FORMAT + rb"(?![0-9A-Za-z])")
 SAMPLE_WORDS = re.compile(rb"(?i)example|sample|dummy|placeholder|test|xxxx|your")
 
 FEATURES = (
     "length", "digits", "upper", "lower", "symbols", "kinds", "kind_changes", "entropy", "transition",
     "dictionary", "longest_letters", "hexadecimal", "named_before", "assigned_before", "quoted",
-    "sample_word", "word_before", "word_after", "path_depth", "path_sample_word",
+    "sample_word", "word_before", "word_after", "path_depth", "path_sample_word", "url_password",
 )
 
 _KIND = np.full(256, 3, dtype=np.int64)
@@ -78,19 +93,20 @@ def describe(text: bytes, start: int, end: int, path: str, language: Language) -
     path_bytes = path.encode()
     return [
         len(raw), of_kind[0], of_kind[1], of_kind[2], of_kind[3], float((of_kind > 0).sum()),
-        float((kinds[1:] != kinds[:-1]).mean()), float(-(shares * np.log2(shares)).sum()),
-        float(language.transitions[slots[:-1], slots[1:]].mean()), float(covered.mean()),
+        float((kinds[1:] != kinds[:-1]).sum() / max(1, len(raw) - 1)), float(-(shares * np.log2(shares)).sum()),
+        float(language.transitions[slots[:-1], slots[1:]].sum() / max(1, len(raw) - 1)), float(covered.mean()),
         float(max((len(x) for x in _LETTERS.findall(value)), default=0)),
         float(re.fullmatch(rb"[0-9a-f]+|[0-9A-F]+", value) is not None),
         float(NAMING.search(before) is not None), float(re.search(rb"[:=]\s{0,3}[\"']?$", before) is not None),
         float(before[-1:] in (b'"', b"'")), float(SAMPLE_WORDS.search(value) is not None),
         float(re.search(rb"[a-z]{2,}\s$", before) is not None), float(re.match(rb"[\"']?\s[a-z]{2,}", after) is not None),
         float(path.count("/")), float(SAMPLE_WORDS.search(path_bytes) is not None),
+        float(after[:1] == b"@" and _URL_USER.search(before) is not None),
     ]
 
 
 def rule_label(text: bytes, start: int, end: int) -> int | None:
-    """The label of a sample finding: 1 for key formats and named random values, 0 for plain words.
+    """The label of a sample finding: 1 for key formats and named or URL values with digits, 0 for plain words.
 
     None leaves a finding out of the fit. Used where no reviewed findings are given.
     """
@@ -101,8 +117,9 @@ def rule_label(text: bytes, start: int, end: int) -> int | None:
     if FORMATS.match(value):
         return 1
     mixed_kinds = re.search(rb"[0-9]", value) is not None and re.search(rb"[A-Za-z]", value) is not None
-    if NAMING.search(before):
-        return 1 if mixed_kinds else 0
+    in_url = text[end : end + 1] == b"@" and _URL_USER.search(before) is not None
+    if in_url or NAMING.search(before):
+        return 1 if mixed_kinds else None if re.search(rb"[^0-9A-Za-z+/_\-]", value) else 0
     return None if mixed_kinds else 0
 
 
@@ -266,20 +283,75 @@ def labelled_values(docs: DataFrame) -> DataFrame:
     return chosen.select("value", (F.col("rank") > 2).cast("int").alias("label"))
 
 
+def _named_spans(text: bytes) -> Iterator[tuple[int, int]]:
+    """Values after naming words: in quotes up to the same quote, else up to a blank or quote, without closing marks.
+
+    A value that itself holds ``name=`` is taken whole and in parts, so all spans together stay linear.
+    """
+    low = text.lower()
+    if not any(part in low for part in _NAME_PARTS):
+        return
+    names = [match.span() for match in _NAMED.finditer(low)]
+    covered = 0
+    for (_, at), (following, _) in zip(names, [*names[1:], (len(text), 0)]):
+        value = _NAMED_VALUE.match(text, at)
+        if value is None:
+            continue
+        start, end = value.span(value.lastgroup)
+        ends = {min(end, following)} if start < covered else {end, min(end, following)}
+        covered = max(covered, end)
+        for end in ends:
+            if value.lastgroup == "c" or end == following:
+                end = start + len(text[start:end].rstrip(b",;.)]}&"))
+            if start < end:
+                yield start, end
+
+
+def _password_spans(text: bytes) -> Iterator[tuple[int, int]]:
+    """Passwords of scheme://user:password@host and user:password@host."""
+    if b"@" not in text or b":" not in text:
+        return
+    for chunk in _CHUNK.finditer(text):
+        if b"@" in chunk[0] and b":" in chunk[0]:
+            first = _AFTER_USER.match(chunk[0])
+            for match in [*([first] if first else []), *_IN_URL.finditer(chunk[0])]:
+                start, end = match.span("a")
+                yield chunk.start() + start, chunk.start() + end - 1
+
+
 def spans(text: bytes) -> list[tuple[int, int]]:
-    """The candidates of a text in order."""
-    return [match.span() for match in CANDIDATE.finditer(text)]
+    """The candidates of a text in order: long runs, key formats, values after naming words, passwords before a host."""
+    found = {match.span() for match in CANDIDATE.finditer(text)}
+    if any(part in text for part in _FORMAT_PARTS):
+        found.update(match.span() for match in _FORMAT_RUN.finditer(text))
+    found.update(_named_spans(text))
+    found.update(_password_spans(text))
+    return sorted(found)
+
+
+def _outermost(rows: list[tuple], kept: np.ndarray) -> np.ndarray:
+    """``kept`` without findings inside an earlier kept one of the same document, unless they are key formats."""
+    kept = kept.copy()
+    last_row, last_end = None, -1
+    for k in sorted(np.flatnonzero(kept), key=lambda k: (rows[k][6], rows[k][1], -rows[k][2])):
+        row, end = rows[k][6], rows[k][2]
+        if row != last_row:
+            last_row, last_end = row, -1
+        if end <= last_end and not rows[k][4]:
+            kept[k] = False
+        last_end = max(last_end, end)
+    return kept
 
 
 def _found(batches: Iterator[pa.RecordBatch], language: Language) -> Iterator[list[tuple]]:
     for portion in portions(batches, "text", PORTION_BYTES):
         rows = []
         ids, paths = portion.column("doc_id").to_pylist(), portion.column("path").to_pylist()
-        for doc, text, path in zip(ids, text_bytes(portion.column("text")), paths):
+        for place, (doc, text, path) in enumerate(zip(ids, text_bytes(portion.column("text")), paths)):
             for start, end in spans(text):
                 rows.append((
                     doc, start, end, hashlib.sha256(text[start:end]).hexdigest(), FORMATS.match(text[start:end]) is not None
-                    and rule_label(text, start, end) == 1, describe(text, start, end, path or "", language),
+                    and rule_label(text, start, end) == 1, describe(text, start, end, path or "", language), place,
                 ))
         yield rows
 
@@ -321,8 +393,10 @@ def scan_secrets(docs: DataFrame, forest: Forest, least: float = 0.5) -> DataFra
     """Findings of ``docs`` (doc_id, text, path) that the forest keeps: one row each.
 
     Columns: doc_id, start and end (bytes of the UTF-8 text), value_sha256, score. Candidates are
-    runs of at least 16 letters, digits and ``+/_-``; those scored below ``least`` are taken for
-    false findings, but formats that only keys have score 1 whatever the forest was fitted on. Null and empty texts have none; a null path is an empty one; equal rows give
+    runs of at least 16 letters, digits and ``+/_-``, key formats, values of any length and characters after a
+    naming word, and passwords of ``user:password@host``; those scored below ``least`` are taken for
+    false findings, but formats that only keys have score 1 whatever the forest was fitted on. A
+    finding inside another one is left out unless it is a key format. Null and empty texts have none; a null path is an empty one; equal rows give
     equal findings each. Whole texts are read in the scan's own tasks, nothing moves.
     """
     sent = docs.sparkSession.sparkContext.broadcast(forest)
@@ -331,7 +405,7 @@ def scan_secrets(docs: DataFrame, forest: Forest, least: float = 0.5) -> DataFra
         for rows in _found(batches, sent.value.language):
             values = np.array([r[5] for r in rows], dtype=np.float64).reshape(-1, len(FEATURES))
             scores = np.where([r[4] for r in rows], 1.0, sent.value.score(values))
-            kept = [(r, s) for r, s in zip(rows, scores.tolist()) if s >= least]
+            kept = [(rows[k], float(scores[k])) for k in np.flatnonzero(_outermost(rows, scores >= least))]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array([r[0] for r, _ in kept], pa.int64()), "start": pa.array([r[1] for r, _ in kept], pa.int64()),
                 "end": pa.array([r[2] for r, _ in kept], pa.int64()), "value_sha256": pa.array([r[3] for r, _ in kept], pa.string()),

@@ -438,6 +438,37 @@ def test_secrets_are_learned_from_all_documents(spark, monkeypatch):
     assert secrets.scan_secrets(many, secrets.train(many)).count() == 100
 
 
+def test_secret_candidates_of_every_form():
+    def of(text):
+        text = text.encode()
+        return {text[a:b].decode() for a, b in secrets.spans(text)}
+
+    assert of('password = "hunter2-XyZ!9"') == {"hunter2-XyZ!9"}
+    assert of('password = "Tr0ub4dor&3xQ9!vLmP2"') == {"Tr0ub4dor&3xQ9!vLmP2"}
+    assert of("pw: s3cr3tPass99, and") == {"s3cr3tPass99"}
+    assert of("postgres://app:Zk83hfPq0sLw92XnVt@db.host/x") == {"Zk83hfPq0sLw92XnVt"}
+    assert of("x postgres://app:p/a:s@db ftp://u:p@ss@h1 me:é1@host") == {"p/a:s", "p@ss", "é1"}
+    assert of("see https://ghp_0123456789abcdefghijABCDEFGHIJ012345@github.com/") >= {"ghp_0123456789abcdefghijABCDEFGHIJ012345"}
+    assert of("passphrase: 'correct horse 9 staple' Secret := \"é\"") == {"correct horse 9 staple", "é"}
+    assert of("?token=ab1&password=de2 xoxb-1234567890") == {"ab1&password=de2", "ab1", "de2", "xoxb-1234567890"}
+    assert of("password = ") == of("password = \"\"") == of("a@b.c http://h:80/x") == of("") == set()
+
+
+def test_short_and_url_secrets_are_found(spark):
+    rng = random.Random(12)
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789!$%&*"
+    made, want = [], set()
+    for k in range(300):
+        value = "".join(rng.choice(letters) for _ in range(7 + k % 9)) + "7xQ"
+        end = (f' password = "{value}" and', f" postgres://app:{value}@db.host/x and", " password = required and", " see bob@db.host and")[k % 4]
+        made.append(Row(doc_id=k, text=sentence(rng, 20, "plain") + end, path="a"))
+        if k % 4 < 2:
+            want.add((k, hashlib.sha256(value.encode()).hexdigest()))
+    table = spark.createDataFrame(made, "doc_id long, text string, path string").repartition(2)
+    got = {(r.doc_id, r.value_sha256) for r in secrets.scan_secrets(table, secrets.train(table)).collect()}
+    assert len(want - got) <= 2 and len(got - want) <= 2
+
+
 def test_word_statistics_equal_a_count_by_hand(spark):
     texts = ["Abcd abcde xab1cd", None, "", "a" * 20 + " éabcd ABCD", "q"]
     pairs, grams = secrets._word_counts(b" ".join(words.text_bytes(pa.array(texts))))

@@ -18,6 +18,8 @@ from attestry.session import materialize
 SAMPLE_VECTORS, SHARD_AIM, SHARD_MOST, AUDIT_VECTORS = 16_384, 512, 4_096, 512
 LEAST_RECALL = 0.9
 OVERLAPS = (2, 4, 8)
+#: Audited vectors with at most so many links are also judged apart, and rows compared at once by brute force.
+FEW_LINKS, BLOCK_ROWS = 8, 512
 
 
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
@@ -102,7 +104,11 @@ def in_shards(nodes: DataFrame, centres: dict[tuple, np.ndarray], overlap: int)
     placed = nodes.mapInArrow(
         run, ", ".join(f"{name} {kind[name]}" for name in nodes.columns) + ", cells array<int>"
     ).withColumn("cell", F.explode("cells"))
-    # A shard that is still too large is cut by hash; its parts are searched against each other.
+    return in_parts(placed)
+
+
+def in_parts(placed: DataFrame) -> DataFrame:
+    """Shards that are still too large are cut by hash; their parts are searched against each other."""
     sizes = placed.groupBy("label", "dims", "cell").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(SHARD_MOST)).cast("int").alias("parts")
     )
@@ -111,6 +117,30 @@ def in_shards(nodes: DataFrame, centres: dict[tuple, np.ndarray], overlap: int)
     )
 
 
+def _tiled(shards: DataFrame) -> DataFrame:
+    """Every vector once per pair of parts that it takes part in: ``i`` asks, ``j`` is searched."""
+    others = F.sequence(F.lit(0), F.col("parts") - 1)
+    tile = F.explode(F.array_distinct(F.concat(
+        F.transform(others, lambda k: F.struct(F.col("part").alias("i"), k.alias("j"))),
+        F.transform(others, lambda k: F.struct(k.alias("i"), F.col("part").alias("j"))),
+    )))
+    return shards.withColumn("tile", tile).select(
+        *[x for x in shards.columns if x not in ("part", "parts")], F.col("tile.i").alias("i"), F.col("tile.j").alias("j"),
+        (F.col("tile.j") == F.col("part")).alias("indexed"), (F.col("tile.i") == F.col("part")).alias("asked"),
+    )
+
+
+def _mark_pairs_in_two_shards(
+    linked: np.ndarray, unit: np.ndarray, cells: np.ndarray, cell: int, asked: np.ndarray, index: np.ndarray, least: float
+) -> None:
+    """Marks in ``linked`` (asked by index) all links of vectors that also meet in another shard."""
+    for other in np.unique(cells[(cells >= 0) & (cells != cell)]):
+        q, x = np.flatnonzero((cells[asked] == other).any(axis=1)), np.flatnonzero((cells[index] == other).any(axis=1))
+        for at in range(0, len(q) if len(x) else 0, BLOCK_ROWS):
+            rows = q[at : at + BLOCK_ROWS]
+            linked[np.ix_(rows, x)] |= unit[asked[rows]] @ unit[index[x]].T >= least
+
+
 def adjacency(shards: DataFrame) -> DataFrame:
     """The union of the shards' pruned neighbour lists: node, neighbours."""
 
@@ -134,8 +164,9 @@ def adjacency(shards: DataFrame) -> DataFrame:
 def linked_in_shards(shards: DataFrame, edges: DataFrame, least: float) -> DataFrame:
     """Per vector and shard: node, links (copies of linked vectors), root (a vector linked with it).
 
-    A pair that meets in several shards counts in the first of them. Links themselves are not
-    returned, so a crowd of near copies costs one row each.
+    A pair that meets in several shards counts in the first of them; such pairs are also compared
+    exactly, so the first shard finds it if any does. Links themselves are not returned, so a crowd
+    of near copies costs one row each.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -162,6 +193,10 @@ def linked_in_shards(shards: DataFrame, edges: DataFrame, least: float) -> DataF
         bounds = np.append(0, np.cumsum([len(x) for x in targets])).astype(np.int64)
         near = np.concatenate(targets) if targets else np.zeros(0, np.int64)
         q, x = range_search(unit[index], bounds, near, unit[asked], place[asked], least) if len(index) else (place[:0], place[:0])
+        linked = np.zeros((len(asked), len(index)), dtype=bool)
+        linked[q, x] = True
+        _mark_pairs_in_two_shards(linked, unit, cells, cell, asked, index, least)
+        q, x = np.nonzero(linked)
         q, x = asked[q], index[x]
         q, x = q[q != x], x[q != x]
         earlier = np.zeros(len(q), dtype=bool)
@@ -173,23 +208,43 @@ def linked_in_shards(shards: DataFrame, edges: DataFrame, least: float) -> DataF
         links = np.bincount(q[~earlier], weights=copies[x[~earlier]], minlength=len(names)).astype(np.int64)
         return pa.table({"node": pa.array(names), "links": pa.array(links), "root": pa.array(names[root])})
 
-    listed = shards.join(edges, "node", "left")
-    tile = F.explode(F.array_distinct(F.concat(
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.col("part").alias("i"), k.alias("j"))),
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(k.alias("i"), F.col("part").alias("j"))),
-    )))
-    tiled = listed.withColumn("tile", tile).select(
-        "label", "dims", "cell", F.col("tile.i").alias("i"), F.col("tile.j").alias("j"),
-        "node", "embedding", "copies", "cells", "neighbours",
-        (F.col("tile.j") == F.col("part")).alias("indexed"), (F.col("tile.i") == F.col("part")).alias("asked"),
-    )
+    tiled = _tiled(shards.join(edges, "node", "left"))
     return tiled.groupBy("label", "dims", "cell", "i", "j").applyInArrow(
         run, "node long, links long, root long"
     )
 
 
+def linked_exactly(nodes: DataFrame, least: float) -> DataFrame:
+    """As ``linked_in_shards``, from all pairs of a label, compared in blocks of its vectors cut by hash."""
+
+    def run(table: pa.Table) -> pa.Table:
+        names, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
+        unit = _matrix(table.column("embedding"))
+        index = np.flatnonzero(table.column("indexed").to_numpy(zero_copy_only=False))
+        asked = np.flatnonzero(table.column("asked").to_numpy(zero_copy_only=False))
+        links = np.zeros(len(names), dtype=np.int64)
+        root = np.arange(len(names))
+        for at in range(0, len(asked), BLOCK_ROWS):
+            rows = asked[at : at + BLOCK_ROWS]
+            near = unit[rows] @ unit[index].T >= least
+            near &= rows[:, None] != index[None, :]
+            links[rows] = near @ copies[index]
+            a, b = np.nonzero(near)
+            root = roots(len(names), np.append(rows[a], np.arange(len(names))), np.append(index[b], root))
+        return pa.table({"node": pa.array(names), "links": pa.array(links), "root": pa.array(names[root])})
+
+    placed = nodes.select("label", "dims", F.lit(0).alias("cell"), "node", "embedding", "copies")
+    return _tiled(in_parts(placed)).groupBy("label", "dims", "cell", "i", "j").applyInArrow(
+        run, "node long, links long, root long"
+    )
+
+
 def audited_recall(nodes: DataFrame, links: DataFrame, least: float) -> float:
-    """Found links over all links of at most ``AUDIT_VECTORS`` vectors, by brute force in double."""
+    """Mean share of found links of at most ``AUDIT_VECTORS`` vectors, by brute force in double.
+
+    Every vector with links counts alike. The mean of those with at most ``FEW_LINKS`` is taken apart,
+    and the lesser of the two returned, so a crowd does not hide that single pairs are lost.
+    """
     asked = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(AUDIT_VECTORS)
     table = asked.select("node", "label", "dims", "embedding").toArrow()
     if not table.num_rows:
@@ -217,8 +272,11 @@ def audited_recall(nodes: DataFrame, links: DataFrame, least: float) -> float:
                 )
 
     true = nodes.mapInArrow(run, "node long, true_links long").groupBy("node").agg(F.sum("true_links").alias("true_links"))
-    row = true.join(links, "node").agg(F.sum("links"), F.sum("true_links")).first()
-    return row[0] / row[1] if row[1] else 1.0
+    share = F.least(F.coalesce("links", F.lit(0)) / F.col("true_links"), F.lit(1.0))
+    row = true.where("true_links > 0").join(links, "node", "left").agg(
+        F.avg(share), F.avg(F.when(F.col("true_links") <= FEW_LINKS, share))
+    ).first()
+    return min((x for x in row if x is not None), default=1.0)
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
@@ -228,7 +286,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     double precision, so no pair below links. Equal vectors are one node with a count. Each vector
     is indexed in its nearest shards; graphs are built per shard, their neighbour lists united, and
     every vector searches its shards. Recall is audited against brute force on a bounded sample, and
-    below ``LEAST_RECALL`` the search is repeated with more shards per vector. n_links counts other
+    below ``LEAST_RECALL`` the search is repeated with more shards per vector, at last by comparing
+    all vectors of a label in blocks. n_links counts other
     rows; component_id is the least vec_id reachable. Null, zero and non-finite vectors and rows
     without a label link with nothing and stay. A null vec_id never names a component of others, and
     such a row is kept if nothing links with it. Other columns are not read; an empty table gives an
@@ -249,6 +308,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
         if audited_recall(nodes, links, least) >= LEAST_RECALL:
             break
+    else:
+        found = materialize(linked_exactly(nodes, least))
+        links = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     known = nodes.select("node", "copies").join(links, "node").join(joined, "node", "left").select(
         "node", "copies", "links", F.coalesce("component", "node").alias("component")

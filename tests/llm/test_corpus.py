@@ -539,6 +539,47 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, aim, most):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("most", [4096, 64])
+def test_near_vectors_compare_all_when_the_search_finds_too_little(spark, monkeypatch, most):
+    monkeypatch.setattr(vector_dedup, "SHARD_MOST", most)
+    made, table = vectors(spark)
+    nodes = vector_dedup.distinct_vectors(table.select("vec_id", "label", F.transform("embedding", lambda x: x + F.lit(0.0)).alias("embedding")))
+    exact = vector_dedup.linked_exactly(nodes, 0.93).groupBy("node").agg(F.sum("links").alias("links"))
+    assert vector_dedup.audited_recall(nodes, exact, 0.93) == 1.0
+    monkeypatch.setattr(vector_dedup, "audited_recall", lambda *_: 0.5)
+    got = vector_dedup.near_vectors(table).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=key) == brute_vectors(made)
+
+
+def test_recall_counts_single_pairs_apart_from_crowds(spark):
+    rng = np.random.default_rng(3)
+    crowd, made = rng.normal(size=16), []
+    for k in range(200):
+        made.append((k, (crowd + rng.normal(size=16) * 0.01).tolist(), 1))
+    for k in range(20):
+        single = rng.normal(size=16)
+        made += [(1000 + 2 * k + j, (single + rng.normal(size=16) * 0.01).tolist(), 1) for j in (0, 1)]
+    nodes = vector_dedup.distinct_vectors(spark.createDataFrame(made, "vec_id long, embedding array<double>, label int")).cache()
+    exact = vector_dedup.linked_exactly(nodes, 0.93).groupBy("node").agg(F.sum("links").alias("links"))
+    assert vector_dedup.audited_recall(nodes, exact, 0.93) == 1.0
+    # All pairs lost, the crowd found: more than 0.99 of all links.
+    lost = exact.withColumn("links", F.when(F.col("links") > 100, F.col("links")).otherwise(0))
+    assert vector_dedup.audited_recall(nodes, lost, 0.93) == 0.0
+
+
+def test_pairs_of_two_shards_are_counted_if_the_first_shard_misses_them(spark):
+    """Graphs without edges, whose search misses nearly all: pairs that meet in two shards are found and counted once."""
+    made, table = vectors(spark)
+    nodes = vector_dedup.distinct_vectors(table.where("size(embedding) = 16 and label = 1")).cache()
+    middle = {(1, 16): np.linalg.qr(np.random.default_rng(1).normal(size=(16, 2)))[0].T}
+    shards = vector_dedup.in_shards(nodes, middle, 2)
+    edges = spark.createDataFrame([], "node long, neighbours array<long>")
+    shards = shards.withColumn("cells", F.array(F.lit(0), F.lit(1)))
+    exact = {r.node: r.links for r in vector_dedup.linked_exactly(nodes, 0.93).collect()}
+    found = vector_dedup.linked_in_shards(shards, edges, 0.93).groupBy("node").agg(F.sum("links").alias("links"))
+    assert {r.node: r.links for r in found.collect()} == exact
+
+
 def test_near_vectors_of_an_empty_table(spark):
     assert vector_dedup.near_vectors(vectors(spark)[1].where("false")).count() == 0
 

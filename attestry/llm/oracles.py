@@ -56,3 +56,46 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+#: crc32 goes byte by byte through a table that its polynomial gives.
+ORACLES["op11_spelling"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY doc_id, run
+), bytes AS (
+  SELECT doc_id, run, times, list_transform(range(length(code) // 2),
+           lambda i: CAST('0x' || substr(code, CAST(2 * i + 1 AS INT), 2) AS BIGINT)) AS codes
+  FROM (SELECT *, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS code FROM runs)
+), hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295, codes),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT))
+              || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, CAST(sum(times) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(times) >= 3
+), shorter AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT *, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b USING (rest, i) WHERE a.word <> b.word
+  UNION SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.rest = w.word
+  UNION SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(rank := -other_n, form := other)) AS best FROM near GROUP BY word
+), judged AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -best.rank >= 2 * w.n THEN best.form END AS form,
+         CASE WHEN -best.rank >= 2 * w.n THEN -best.rank END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), chains AS (
+  SELECT word, word AS root FROM judged WHERE form IS NULL
+  UNION ALL SELECT j.word, c.root FROM judged j JOIN chains c ON j.form = c.word
+)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN chains USING (word)
+"""

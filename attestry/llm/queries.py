@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import (
-    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, toxicity, vector_dedup,
+    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, spelling, toxicity, vector_dedup,
 )
 from attestry.llm.samples import held_out
 
@@ -106,3 +106,9 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.corpus_words(docs))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import (
-    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, spelling, toxicity, vector_dedup,
+    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, spelling, token_align,
+    toxicity, vector_dedup,
 )
 from attestry.llm.samples import held_out
 
@@ -112,3 +113,15 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents").select("doc_id", "text")
     return spelling.variants(spelling.corpus_words(docs))
+
+
+#: Vocabulary files of public tokenizers, present on every machine.
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query
+def op12_token_align(spark: SparkSession, folder: str) -> DataFrame:
+    return token_align.align(
+        _read(spark, folder, "documents").select("doc_id", "text"),
+        f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model",
+    )

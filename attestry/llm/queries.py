@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import (
-    decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, spelling, token_align,
-    toxicity, vector_dedup,
+    class_model, decontaminate, licenses, line_dedup, mixing, ngram_join, quality, secrets, sharding, spelling,
+    token_align, toxicity, vector_dedup,
 )
 from attestry.llm.samples import held_out
 
@@ -125,3 +125,8 @@ def op12_token_align(spark: SparkSession, folder: str) -> DataFrame:
         _read(spark, folder, "documents").select("doc_id", "text"),
         f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model",
     )
+
+
+@query
+def op13_class_model(spark: SparkSession, folder: str) -> DataFrame:
+    return class_model.score(_read(spark, folder, "documents").select("doc_id", "text"))

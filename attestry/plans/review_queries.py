@@ -871,11 +871,12 @@ def _delivered(spark: SparkSession, parts: list[DataFrame], target: str, start)
 def streamed_versions(spark: SparkSession, folder: str) -> DataFrame:
     """All arrivals as a stream of three deliveries; the stored versions at its end."""
     target = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
+    arrivals = adapters.arrivals(spark, folder)
     _delivered(
-        spark, _thirds(adapters.arrivals(spark, folder), "retrieved_at"), target,
-        lambda stream: jobs.stream_ingest(stream, f"{target}/out", f"{target}/log"),
+        spark, _thirds(arrivals, "retrieved_at"), target,
+        lambda stream: jobs.stream_ingest(stream, f"{target}/out", f"{target}/log", buckets=8),
     )
-    return spark.read.parquet(f"{target}/out/versions").select(
+    return jobs.stored_versions(arrivals, f"{target}/out").select(
         "source_document_id", "document_version_id", "sha256"
     )
 
@@ -888,7 +889,7 @@ def streamed_heads(spark: SparkSession, folder: str) -> DataFrame:
     _delivered(
         spark, _thirds(decisions, "created_at"), target,
         lambda stream: jobs.stream_heads(
-            stream, candidates, None, f"{target}/out", f"{target}/log", verdicts
+            stream, candidates, None, f"{target}/out", f"{target}/log", verdicts, buckets=8
         ),
     )
     return jobs.live_heads(spark, f"{target}/out").select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,13 +46,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches; a missing one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stage_root(spark: SparkSession) -> str:
+    """Where this application writes its stage tables."""
+    return f"{checkpoint_root(spark)}/stages-{spark.sparkContext.applicationId}"
+
+
+def materialize(df: DataFrame, instead_of: Sequence[DataFrame] = ()) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Used where several branches need the output of an expensive stage: the branches then scan a
-    small columnar table (with pruning) and a lost executor only costs a re-read.
+    small columnar table (with pruning) and a lost executor only costs a re-read. ``instead_of``
+    names earlier results of this function that nothing reads any more; they are deleted.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for stage in instead_of:
+        delete_path(spark, stage._stage_path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all stage tables of this application; results that were not written yet are lost."""
+    delete_path(spark, stage_root(spark))

@@ -155,30 +155,6 @@ def unparsed(incoming: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFra
     return fresh, reused
 
 
-def write_parsed(
-    documents: DataFrame, pages: DataFrame, documents_path: str, pages_path: str
-) -> DataFrame:
-    """Append parses whose (version, settings) is not stored yet, with their pages.
-
-    Pages go first: a document row is only visible once its pages are. Pages left behind by a
-    write that died in between are skipped on reading, because reading starts from documents.
-    """
-    spark = documents.sparkSession
-    try:
-        stored = spark.read.parquet(documents_path)
-    except Exception as error:  # the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        stored = documents.limit(0)
-    fresh_ids, reused = unparsed(documents, stored)
-    fresh = documents.join(fresh_ids.select("parsed_document_id"), "parsed_document_id", "left_semi")
-    pages.join(fresh.select("parsed_document_id"), "parsed_document_id", "left_semi").write.mode(
-        "append"
-    ).parquet(pages_path)
-    fresh.write.mode("append").parquet(documents_path)
-    return reused
-
-
 def read_parsed(documents: DataFrame, pages: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Header columns beside every page; pages stay one per row, in no particular order.
 

@@ -50,10 +50,31 @@ identity AS ({" UNION ALL ".join(
     WHERE NOT coalesce({ok}, false)''' for rule, ok in _RULES)}),
 loose AS (SELECT DISTINCT validation_run_id, 'evidence_version_differs' AS rule FROM checks
   WHERE raw_value IS NOT NULL AND evidence_version <> document_version_id),
-violations AS (SELECT * FROM identity UNION ALL SELECT * FROM loose),
+content AS (SELECT validation_run_id, observation_index, field_name, raw_value, value_json, unit,
+    confidence, missing_reason, evidence_version, evidence_page, quote, char_start, char_end, status,
+    issue_codes FROM checks),
+extracted AS (SELECT * REPLACE (CASE WHEN observation_index % 223 = 0 THEN 'changed' ELSE unit END AS unit,
+    CASE WHEN observation_index % 211 = 0 THEN -1 - observation_index ELSE observation_index END
+    AS observation_index) FROM content),
+differing AS (SELECT DISTINCT validation_run_id, 'observations_differ' AS rule FROM
+    ((FROM content EXCEPT FROM extracted) UNION ALL (FROM extracted EXCEPT FROM content))),
+earlier AS (SELECT * REPLACE (CASE WHEN observation_index % 227 = 0 THEN 'earlier unit' ELSE unit END
+    AS unit) FROM content WHERE CAST(substr(validation_run_id, 2) AS BIGINT) % 4 = 1),
+again AS (FROM content WHERE validation_run_id IN (SELECT validation_run_id FROM earlier)),
+rewritten AS (SELECT DISTINCT validation_run_id, 'stored_report_differs' AS rule FROM
+    ((FROM again EXCEPT FROM earlier) UNION ALL (FROM earlier EXCEPT FROM again))),
+earlier_runs AS (SELECT * REPLACE (CASE WHEN CAST(substr(pipeline_run_id, 2) AS BIGINT) % 47 = 0
+    THEN 'earlier' ELSE input_hash END AS input_hash) FROM i_runs),
+changed_runs AS (FROM i_runs EXCEPT FROM earlier_runs),
+rerun AS (SELECT DISTINCT validation_run_id, 'stored_run_differs' AS rule FROM i_reports
+  WHERE validation_run_id IN (SELECT pipeline_run_id FROM changed_runs)
+    OR extraction_run_id IN (SELECT pipeline_run_id FROM changed_runs)),
+violations AS (SELECT * FROM identity UNION ALL SELECT * FROM loose UNION ALL SELECT * FROM differing
+  UNION ALL SELECT * FROM rewritten UNION ALL SELECT * FROM rerun),
 clean AS (SELECT *, {uuid5_sql("'candidate:' || validation_run_id || ':' || observation_index")}
     AS candidate_id FROM checks
-  WHERE validation_run_id NOT IN (SELECT validation_run_id FROM violations))"""
+  WHERE validation_run_id NOT IN (SELECT validation_run_id FROM violations)
+    AND validation_run_id NOT IN (SELECT validation_run_id FROM earlier))"""
 ORACLES["import_violations"] = f"WITH {IMPORT} SELECT * FROM violations"
 ORACLES["imported_candidates"] = f"""
 WITH {IMPORT} SELECT candidate_id, validation_run_id, observation_index, field_name,
@@ -63,10 +84,7 @@ ORACLES["imported_evidence"] = f"""
 WITH {IMPORT} SELECT candidate_id, 0 AS evidence_index, evidence_page AS page_number, quote,
   char_start FROM clean WHERE raw_value IS NOT NULL
 """
-ORACLES["observation_mismatches"] = f"""
-SELECT DISTINCT validation_run_id, 'observations_differ' AS rule FROM ({RECORDED})
-WHERE observation_index % 211 = 0 OR observation_index % 223 = 0
-"""
+ORACLES["observation_mismatches"] = f"WITH {IMPORT} SELECT * FROM differing"
 
 # ------------------------------------------------------------------------------ canonical
 _LAST = f"last_value(likely_head IGNORE NULLS) OVER {adapters.WINDOW_BEFORE}"

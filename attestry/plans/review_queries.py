@@ -31,19 +31,51 @@ def _identities(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 # --------------------------------------------------------------------------------- import
+def _checks(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(validated(spark, folder).drop("validation_issues"))
+
+
+def _stored_observations(spark: SparkSession, folder: str) -> DataFrame:
+    """The extractions' own observations: some moved a row and some changed a value."""
+    index = F.col("observation_index")
+    return adapters.observations(spark, folder).withColumns(
+        {
+            "unit": F.when(index % 223 == 0, "changed").otherwise(F.col("unit")),
+            "observation_index": F.when(index % 211 == 0, -1 - index).otherwise(index),
+        }
+    )
+
+
+def _earlier_reports(checks: DataFrame) -> DataFrame:
+    """Digests of the reports that an earlier import stored, some of them with another unit since."""
+    index = F.col("observation_index")
+    earlier = checks.where("CAST(substr(validation_run_id, 2) AS BIGINT) % 4 = 1").withColumn(
+        "unit", F.when(index % 227 == 0, "earlier unit").otherwise(F.col("unit"))
+    )
+    return review.report_digests(earlier)
+
+
+def _earlier_runs(runs: DataFrame) -> DataFrame:
+    """Runs as an earlier import stored them: every forty-seventh had another input."""
+    number = F.substring("pipeline_run_id", 2, 20).cast("long")
+    return runs.withColumn(
+        "input_hash", F.when(number % 47 == 0, "earlier").otherwise(F.col("input_hash"))
+    )
+
+
 def _violations(spark: SparkSession, folder: str, checks: DataFrame) -> DataFrame:
     known = _identities(spark, folder)
-    return (
-        review.identity_violations(
-            known["reports"], known["extractions"], known["runs"], known["parsed"],
-            known["versions"], known["sources"],
-        )
-        .unionByName(review.grounding_violations(checks, adapters.carbon_pages(spark, folder)))
+    return review.import_violations(
+        checks, adapters.carbon_pages(spark, folder), _stored_observations(spark, folder), known,
+        _earlier_reports(checks), _earlier_runs(known["runs"]),
     )
 
 
-def _checks(spark: SparkSession, folder: str) -> DataFrame:
-    return materialize(validated(spark, folder).drop("validation_issues"))
+def _imported(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    checks = _checks(spark, folder)
+    return review.import_validation(
+        checks, _violations(spark, folder, checks), _earlier_reports(checks)
+    )
 
 
 @query
@@ -53,32 +85,22 @@ def import_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def imported_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    checks = _checks(spark, folder)
-    candidates, _ = review.import_validation(checks, _violations(spark, folder, checks))
-    return candidates.select(
+    """Reports that an earlier import stored are not written again."""
+    return _imported(spark, folder)[0].select(
         "candidate_id", "validation_run_id", "observation_index", "field_name", "validation_status"
     )
 
 
 @query
 def imported_evidence(spark: SparkSession, folder: str) -> DataFrame:
-    checks = _checks(spark, folder)
-    _, evidence = review.import_validation(checks, _violations(spark, folder, checks))
-    return evidence.select("candidate_id", "evidence_index", "page_number", "quote", "char_start")
+    return _imported(spark, folder)[1].select(
+        "candidate_id", "evidence_index", "page_number", "quote", "char_start"
+    )
 
 
 @query
 def observation_mismatches(spark: SparkSession, folder: str) -> DataFrame:
-    """Reports checked against extractions of which some moved a row and some changed a value."""
-    checks = _checks(spark, folder)
-    index = F.col("observation_index")
-    stored = adapters.observations(spark, folder).withColumns(
-        {
-            "unit": F.when(index % 223 == 0, "changed").otherwise(F.col("unit")),
-            "observation_index": F.when(index % 211 == 0, -1 - index).otherwise(index),
-        }
-    )
-    return review.observation_violations(checks, stored)
+    return review.observation_violations(_checks(spark, folder), _stored_observations(spark, folder))
 
 
 # ------------------------------------------------------------------------------ canonical

@@ -366,8 +366,8 @@ IDENTITIES = {
       FROM {_KEYS} UNION ALL
       SELECT 'R' || {_K}, 'quality_validated', 'succeeded',
       CASE WHEN k % 20 = 5 THEN 'other' ELSE 'h' || {_K} END FROM {_KEYS}""",
-    "parsed": f"""SELECT 'D' || {_K} AS parsed_document_id, {_KV} AS document_version_id,
-      'h' || {_K} AS input_hash FROM {_KEYS} WHERE k % 20 <> 11""",
+    "parsed": f"""SELECT CASE WHEN k % 20 = 11 THEN 'Lost' ELSE 'D' END || {_K} AS parsed_document_id,
+      {_KV} AS document_version_id, 'h' || {_K} AS input_hash FROM {_KEYS}""",
     "versions": f"""SELECT DISTINCT {_KV} AS document_version_id,
       'S' || CAST(k - k % 8 AS STRING) AS source_document_id, 'sha' || {_KV} AS sha256
       FROM {_KEYS}""",

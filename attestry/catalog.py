@@ -111,8 +111,10 @@ class Rule(NamedTuple):
     kind: str
     unit: str | None = None
     multiline: bool = False
-    # Lower-case text of which every match holds at least one; only used to skip the regex.
+    # Both only skip pages: lower-case text of which every match holds at least one, and a pattern in
+    # the JVM's spelling that every page with a match meets.
     guard: tuple[str, ...] = ()
+    hint: str | None = None
 
 
 _LABEL_SEPARATOR = r"[ \t]*[:\-–][ \t]*"
@@ -122,6 +124,7 @@ _DATE = (
     r"\d{1,2}[/-]\d{1,2}[/-]\d{2,4}|\d{4}"
 )
 _AMOUNT = r"[\d,]+(?:\.\d+)?"
+_AMOUNT_FOLLOWS = r"[\s\x1c-\x1f]*[:=]?[\s\x1c-\x1f]*[\d,]"
 
 # The extraction patterns (all case-blind), their value kind and their unit.
 EXTRACTION_RULES = (
@@ -228,10 +231,10 @@ EXTRACTION_RULES = (
     Rule("methodology_name", r"\b", r"AMS-I\.A", r"\b", "text", guard=("ams-i.a",)),
     Rule("grid_connection_status", "", r"grid[- ]connected", "", "keyword", guard=("connected",)),
     Rule("installed_capacity_mw", "", r"\d+(?:\.\d+)?", r"\s*MW", "number", "MW", guard=("mw",)),
-    Rule("er_reported_tco2e", r"(?:ER|Emission Reductions?)\s*[:=]?\s*", _AMOUNT, "", "number"),
-    Rule("be_value_tco2e", r"(?:BE|Baseline Emissions?)\s*[:=]?\s*", _AMOUNT, "", "number"),
-    Rule("pe_value_tco2e", r"(?:PE|Project Emissions?)\s*[:=]?\s*", _AMOUNT, "", "number"),
-    Rule("le_value_tco2e", r"(?:LE|Leakage)\s*[:=]?\s*", _AMOUNT, "", "number"),
+    Rule("er_reported_tco2e", r"(?:ER|Emission Reductions?)\s*[:=]?\s*", _AMOUNT, "", "number", hint=r"(?:er|reductions?)" + _AMOUNT_FOLLOWS),
+    Rule("be_value_tco2e", r"(?:BE|Baseline Emissions?)\s*[:=]?\s*", _AMOUNT, "", "number", hint=r"(?:be|emissions?)" + _AMOUNT_FOLLOWS),
+    Rule("pe_value_tco2e", r"(?:PE|Project Emissions?)\s*[:=]?\s*", _AMOUNT, "", "number", hint=r"(?:pe|emissions?)" + _AMOUNT_FOLLOWS),
+    Rule("le_value_tco2e", r"(?:LE|Leakage)\s*[:=]?\s*", _AMOUNT, "", "number", hint=r"(?:le|leakage)" + _AMOUNT_FOLLOWS),
 )
 KEYWORD_VALUE = "grid-connected"
 TITLE_STOP_PHRASES = (

@@ -37,10 +37,8 @@ def _key(columns: Sequence[str]) -> Column:
 
 def _broken(df: DataFrame, table: str, key: Sequence[str], rules: Mapping[str, Column]) -> DataFrame:
     """Rows that meet a rule's violation condition; a null condition counts as broken."""
-    found = F.array_compact(
-        F.array(*[F.when(F.coalesce(bad, F.lit(True)), rule) for rule, bad in rules.items()])
-    )
-    return df.select(F.lit(table).alias("table"), _key(key), F.explode(found).alias("rule"))
+    found = F.explode(broken_rules(rules)).alias("rule")
+    return df.select(F.lit(table).alias("table"), _key(key), found)
 
 
 def _repeated(df: DataFrame, table: str, key: Sequence[str], rule: str) -> DataFrame:
@@ -52,19 +50,19 @@ def _all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_evidence(evidence: DataFrame, key: Sequence[str]) -> DataFrame:
+def evidence_rules() -> dict[str, Column]:
+    """Violation conditions over flat evidence columns."""
     start, end = F.col("char_start"), F.col("char_end")
-    return _broken(
-        evidence,
-        "evidence",
-        key,
-        {
-            "offsets_both_or_none": start.isNull() != end.isNull(),
-            "end_after_start": F.coalesce((start < 0) | (end <= start), F.lit(False)),
-            "page_positive": F.col("page_number") < 1,
-            "quote_not_empty": F.length("quote") == 0,
-        },
-    )
+    return {
+        "offsets_both_or_none": start.isNull() != end.isNull(),
+        "end_after_start": F.coalesce((start < 0) | (end <= start), F.lit(False)),
+        "page_positive": F.col("page_number") < 1,
+        "quote_not_empty": F.length("quote") == 0,
+    }
+
+
+def check_evidence(evidence: DataFrame, key: Sequence[str]) -> DataFrame:
+    return _broken(evidence, "evidence", key, evidence_rules())
 
 
 def check_pages(pages: DataFrame, documents: DataFrame | None = None) -> DataFrame:
@@ -126,7 +124,8 @@ def check_runs(runs: DataFrame) -> DataFrame:
     )
 
 
-def check_observations(observations: DataFrame) -> DataFrame:
+def observation_rules(fields: Sequence[str] = FIELDS) -> dict[str, Column]:
+    """Violation conditions over observation columns; ``fields`` are those that may be filled."""
     valued = F.col("missing_reason").isNull()
     carries = F.col("raw_value").isNotNull() | F.col("value_json").isNotNull()
     complete = (
@@ -136,18 +135,26 @@ def check_observations(observations: DataFrame) -> DataFrame:
     )
     version = F.col("document_version_id")
     foreign = F.exists("evidence", lambda e: e["document_version_id"] != version)
+    return {
+        "candidate_has_value_and_evidence": valued & ~complete,
+        "abstention_has_no_value": ~valued & carries,
+        "evidence_of_own_version": F.coalesce(foreign, F.lit(False)),
+        "run_identity_present": F.col("extraction_run_id").isNull(),
+        "field_known": ~F.col("field_name").isin(*fields),
+        "confidence_in_range": F.coalesce(~F.col("confidence").between(0, 1), F.lit(False)),
+    }
+
+
+def check_observations(observations: DataFrame) -> DataFrame:
     return _broken(
-        observations,
-        "observations",
-        ["extraction_run_id", "observation_index"],
-        {
-            "candidate_has_value_and_evidence": valued & ~complete,
-            "abstention_has_no_value": ~valued & carries,
-            "evidence_of_own_version": F.coalesce(foreign, F.lit(False)),
-            "run_identity_present": F.col("extraction_run_id").isNull(),
-            "field_known": ~F.col("field_name").isin(*FIELDS),
-            "confidence_in_range": F.coalesce(~F.col("confidence").between(0, 1), F.lit(False)),
-        },
+        observations, "observations", ["extraction_run_id", "observation_index"], observation_rules()
+    )
+
+
+def broken_rules(rules: Mapping[str, Column]) -> Column:
+    """The names of the rules that a row breaks; a null condition counts as broken."""
+    return F.array_compact(
+        F.array(*[F.when(F.coalesce(bad, F.lit(True)), rule) for rule, bad in rules.items()])
     )
 
 

@@ -338,9 +338,8 @@ def _rule_sql(position: int, rule, pattern_position: int, pages: str) -> str:
     whole = text_literal(f"{flags}((?s:.*?))({rule.prefix})({rule.value})({suffix})")
     look = "0" if "(?!" in rule.suffix else "length(p[4])"
     parts = ", ".join(f"regexp_extract_all(text, {whole}, {g}) AS g{g}" for g in (1, 2, 3, 4))
-    del position
     return f"""
-    SELECT parsed_document_id, page_number, text, {FIELDS.index(rule.field)} AS field_position,
+    SELECT parsed_document_id, page_number, text, {position} AS field_position,
       {pattern_position} AS pattern_position, '{rule.field}' AS field_name,
       '{rule.kind}' AS kind, {text_literal(rule.unit) if rule.unit else "CAST(NULL AS VARCHAR)"}
         AS unit, p[3] AS raw_value,
@@ -354,16 +353,16 @@ def _rule_sql(position: int, rule, pattern_position: int, pages: str) -> str:
           FROM (SELECT parsed_document_id, page_number, text, {parts} FROM ({pages})))))"""
 
 
-def extraction_sql(pages: str) -> str:
+def extraction_sql(pages: str, rule_list=EXTRACTION_RULES, field_list=FIELDS) -> str:
     """CTEs that end in ``extracted``: candidates and abstentions with their index."""
     seen: dict[str, int] = {}
     rules = []
-    for position, rule in enumerate(EXTRACTION_RULES):
+    for rule in rule_list:
         at = seen.get(rule.field, 0)
         seen[rule.field] = at + 1
-        rules.append(_rule_sql(position, rule, at, pages))
+        rules.append(_rule_sql(list(field_list).index(rule.field), rule, at, pages))
     stop = r"(?i)\b(?:considered|analysis|common practice|shall|therefore|because)\b"
-    fields = ", ".join(f"({n}, '{f}')" for n, f in enumerate(FIELDS))
+    fields = ", ".join(f"({n}, '{f}')" for n, f in enumerate(field_list))
     return f"""
 raw_matches AS ({" UNION ALL ".join(rules)}),
 cleaned AS (SELECT *, trim(regexp_replace(raw_value, '\\s+', ' ', 'g')) AS t,
@@ -462,7 +461,7 @@ SELECT doc_id AS parsed_document_id, occurrence,
 
 _IS_TEXT = f"field_name IN ({quoted(DATE_FIELDS + TEXT_FIELDS)})"
 _IS_NUMBER = f"field_name IN ({quoted(INTEGER_FIELDS + NUMBER_FIELDS)})"
-_TYPED = f"""CASE WHEN field_name IN ({quoted(BOOLEAN_FIELDS)}) THEN value_type = 'bool'
+TYPED = f"""CASE WHEN field_name IN ({quoted(BOOLEAN_FIELDS)}) THEN value_type = 'bool'
   WHEN field_name IN ({quoted(INTEGER_FIELDS)}) THEN value_type = 'int'
   WHEN field_name IN ({quoted(NUMBER_FIELDS)}) THEN value_type IN ('int', 'double')
   WHEN {_IS_TEXT} THEN value_type = 'string' AND trim(raw_value) <> '' ELSE true END"""
@@ -473,7 +472,7 @@ _UNITS = "CASE field_name " + " ".join(
 ) + " END"
 _ISO = r"regexp_full_match(raw_value, '\d{4}-\d{2}-\d{2}')"
 _DATED = f"typed AND field_name IN ({quoted(DATE_FIELDS)})"
-_CODES = ", ".join(
+CODES = ", ".join(
     f"CASE WHEN {condition} THEN '{code}' END"
     for code, condition in (
         ("field_contract_pending", f"NOT ({_IS_TEXT}) AND NOT ({_IS_NUMBER}) AND field_name NOT IN "
@@ -497,7 +496,7 @@ kinds AS (SELECT extraction_run_id, field_name,
   FROM recorded WHERE raw_value IS NOT NULL GROUP BY 1, 2),
 prepared AS (SELECT r.*, k.kinds, o.outcome,
     CASE WHEN value_type IN ('int', 'double') THEN CAST(r.raw_value AS DOUBLE) END AS number,
-    {_TYPED.replace("raw_value", "r.raw_value").replace("field_name", "r.field_name").replace("value_type", "r.value_type")} AS typed
+    {TYPED.replace("raw_value", "r.raw_value").replace("field_name", "r.field_name").replace("value_type", "r.value_type")} AS typed
   FROM recorded r LEFT JOIN kinds k ON k.extraction_run_id = r.extraction_run_id
     AND k.field_name = r.field_name
   LEFT JOIN (SELECT extraction_run_id, observation_index, outcome FROM outcomes) o
@@ -509,7 +508,7 @@ coded AS (SELECT *, CASE WHEN raw_value IS NULL
           WHEN 'page_missing' THEN 'evidence_page_invalid'
           WHEN 'quote_missing' THEN 'evidence_quote_missing'
           WHEN 'offsets_missing' THEN 'evidence_offsets_missing'
-          WHEN 'offsets_mismatch' THEN 'evidence_offsets_invalid' END END, {_CODES})
+          WHEN 'offsets_mismatch' THEN 'evidence_offsets_invalid' END END, {CODES})
     END AS issue_codes FROM prepared),
 checks AS (SELECT *, CASE WHEN regexp_matches(issue_codes,
       'evidence_version|evidence_page|evidence_quote|offsets_invalid|field_type|numeric_range|calendar')

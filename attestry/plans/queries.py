@@ -338,7 +338,7 @@ def extracted_quotes_grounded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ grounding and validation
-def _flat_evidence(spark: SparkSession, folder: str) -> DataFrame:
+def flat_evidence(spark: SparkSession, folder: str) -> DataFrame:
     return adapters.recorded(spark, folder).where("raw_value IS NOT NULL").select(
         "parsed_document_id",
         "observation_index",
@@ -352,7 +352,7 @@ def _flat_evidence(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def evidence_grounding(spark: SparkSession, folder: str) -> DataFrame:
     grounded = grounding.ground(
-        _flat_evidence(spark, folder), adapters.carbon_pages(spark, folder)
+        flat_evidence(spark, folder), adapters.carbon_pages(spark, folder)
     )
     return grounded.select("parsed_document_id", "observation_index", "outcome")
 
@@ -360,7 +360,7 @@ def evidence_grounding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def grounding_report(spark: SparkSession, folder: str) -> DataFrame:
     return grounding.grounding_report(
-        _flat_evidence(spark, folder), adapters.carbon_pages(spark, folder)
+        flat_evidence(spark, folder), adapters.carbon_pages(spark, folder)
     )
 
 

@@ -38,7 +38,7 @@ _RULES = (
     ("source_identity_differs", "s.registry = r.registry AND s.registry_project_id = r.project_id"),
     ("validation_input_hash", "vr.input_hash = p.input_hash"),
 )
-IMPORT = f"""{VALIDATED}, {_TABLES},
+IDENTITY = f"""{_TABLES},
 identity AS ({" UNION ALL ".join(
     f'''SELECT r.validation_run_id, '{rule}' AS rule FROM i_reports r
     LEFT JOIN i_extractions x ON x.extraction_run_id = r.extraction_run_id
@@ -47,7 +47,8 @@ identity AS ({" UNION ALL ".join(
     LEFT JOIN i_parsed p ON p.parsed_document_id = r.parsed_document_id
     LEFT JOIN i_versions v ON v.document_version_id = r.document_version_id
     LEFT JOIN i_sources s ON s.source_document_id = v.source_document_id
-    WHERE NOT coalesce({ok}, false)''' for rule, ok in _RULES)}),
+    WHERE NOT coalesce({ok}, false)''' for rule, ok in _RULES)})"""
+IMPORT = f"""{VALIDATED}, {IDENTITY},
 loose AS (SELECT DISTINCT validation_run_id, 'evidence_version_differs' AS rule FROM checks
   WHERE raw_value IS NOT NULL AND evidence_version <> document_version_id),
 content AS (SELECT validation_run_id, observation_index, field_name, raw_value, value_json, unit,
@@ -242,7 +243,8 @@ def readiness_sql(where: str = "true") -> str:
     return f"""facts AS (SELECT * FROM ({local(adapters.PROJECT_FACTS)}) WHERE {where}),
 inputs(dimension_id, n, field_name) AS (VALUES {_INPUTS}),
 projects AS (SELECT project_id, bool_or(field_name = 'methodology_name'
-    AND value_json = '"ACM0002"') AS scope FROM facts GROUP BY 1),
+    AND value_json = '"ACM0002"') AS scope FROM facts GROUP BY 1
+  UNION ALL SELECT 'S' || s_suppkey, false FROM supplier),
 ready AS (SELECT p.project_id, i.dimension_id,
     coalesce(string_agg(i.field_name, ',' ORDER BY i.n) FILTER (f.fact_id IS NOT NULL), '')
       AS available_fields,
@@ -285,6 +287,12 @@ _MISMATCHES = ", ".join(
     f"CASE WHEN {condition} THEN 'context_fact_identity_mismatch:{field}' END"
     for field, condition in _IDS
 )
+# A context without facts: every fact that it binds differs.
+_LOST = ", ".join(
+    f"CASE WHEN {'c_custkey % 14 <> 0' if field == 'le_value_tco2e' else 'true'} "
+    f"THEN 'context_fact_identity_mismatch:{field}' END"
+    for field in ("methodology_name", "methodology_version", *sorted(BOUND))
+)
 _DOCUMENT = "(SELECT count(*) FROM facts f WHERE f.c_custkey = customer.c_custkey) > 0"
 GATED = f"""facts AS ({local(adapters.PROJECT_FACTS)}),
 gated AS (SELECT 'P' || c_custkey AS project_id, c_custkey, concat_ws(',',
@@ -293,8 +301,13 @@ gated AS (SELECT 'P' || c_custkey AS project_id, c_custkey, concat_ws(',',
     CASE WHEN NOT ({_CTX}) THEN 'assessment_context_missing' END,
     CASE WHEN {_CTX} AND c_custkey % 6 = 0 THEN 'authority_not_confirmed' END,
     {_MISMATCHES},
-    CASE WHEN {_CTX} AND (c_custkey % 21 = 0) THEN 'context_evidence_not_grounded' END) AS gates
-  FROM customer WHERE {_DOCUMENT})"""
+    CASE WHEN {_CTX} AND (c_custkey % 21 = 0) THEN 'context_evidence_not_grounded' END) AS gates,
+    {_CTX} AS given
+  FROM customer WHERE {_DOCUMENT}
+  UNION ALL SELECT 'Q' || c_custkey, c_custkey, concat_ws(',', 'methodology_scope_unconfirmed',
+    'methodology_version_missing', CASE WHEN c_custkey % 6 = 0 THEN 'authority_not_confirmed' END,
+    {_LOST}, 'context_evidence_not_grounded'), true
+  FROM customer WHERE NOT ({_CTX}))"""
 ORACLES["business_gates"] = f"WITH {GATED} SELECT project_id, gates FROM gated"
 _PERIODS = ", ".join(
     f"('{d}', {n}, '{f}')" for d, fields in PERIOD_FIELDS.items() for n, f in enumerate(fields)
@@ -308,7 +321,7 @@ missing AS (SELECT g.project_id, g.c_custkey, g.gates, i.dimension_id,
   FROM gated g CROSS JOIN inputs i LEFT JOIN facts f ON f.project_id = g.project_id
     AND f.field_name = i.field_name GROUP BY ALL),
 bound AS (SELECT g.project_id, p.dimension_id,
-    coalesce(string_agg(p.field_name, ',' ORDER BY p.n) FILTER (NOT (g.{_CTX})
+    coalesce(string_agg(p.field_name, ',' ORDER BY p.n) FILTER (NOT g.given
       OR p.field_name = 'le_value_tco2e' AND g.c_custkey % 14 = 0), '') AS binding
   FROM gated g CROSS JOIN periods p GROUP BY ALL)
 SELECT m.project_id, m.dimension_id, m.missing_fields,
@@ -380,11 +393,13 @@ WHERE criterion_id <> 'D00.C0' AND (NOT inside OR invented)
 # ----------------------------------------------------------------------------- evaluation
 COMPARED = f"""recorded AS ({RECORDED}),
 valued AS (SELECT extraction_run_id, field_name, value_json || '|' || coalesce('u' || unit, '-') AS k,
+    CASE WHEN observation_index % 1000 % 3 = 2 AND observation_index % 5 = 0 THEN value_json || '|uother'
+      ELSE value_json || '|' || coalesce('u' || unit, '-') END AS l,
     observation_index % 1000 % 3 AS odd FROM recorded WHERE raw_value IS NOT NULL),
 sets AS (SELECT extraction_run_id, field_name,
-    string_agg(DISTINCT k, ';' ORDER BY k) FILTER (odd <> 0) AS a,
+    string_agg(DISTINCT l, ';' ORDER BY l) FILTER (odd <> 0) AS a,
     string_agg(DISTINCT k, ';' ORDER BY k) FILTER (odd <> 1) AS b,
-    count(DISTINCT k) FILTER (odd <> 0) AS na, count(DISTINCT k) FILTER (odd <> 1) AS nb
+    count(DISTINCT l) FILTER (odd <> 0) AS na, count(DISTINCT k) FILTER (odd <> 1) AS nb
   FROM valued GROUP BY 1, 2),
 compared AS (SELECT r.extraction_run_id, r.field_name,
     CASE WHEN a IS NULL AND b IS NULL THEN 'both_missing' WHEN a IS NULL THEN 'llm_only'
@@ -614,14 +629,14 @@ ORACLES["contract_evidence"] = _checks(
         "quote_not_empty": "coalesce(quote, '') = ''",
     },
 )
-_KEPT = f"SELECT * FROM ({LINES}) WHERE page_number <> 7"
+_KEPT = f"SELECT * FROM ({LINES})"
 ORACLES["contract_pages"] = _checks(
     "parsed_pages",
     "parsed_document_id || '/' || page_number",
     _KEPT,
     {"offsets_span_text": "page_number = 3"},
 ) + f""" UNION ALL SELECT 'parsed_pages', CAST(parsed_document_id AS VARCHAR), 'pages_sequential'
-FROM ({_KEPT}) GROUP BY parsed_document_id HAVING max(page_number) > 7"""
+FROM ({_KEPT}) GROUP BY parsed_document_id HAVING max(page_number) >= 7"""
 ORACLES["contract_runs"] = _checks(
     "processing_runs",
     "CAST(event_id AS VARCHAR)",
@@ -691,17 +706,19 @@ ORACLES["contract_judgments"] = _checks(
     },
 )
 ORACLES["contract_evaluations"] = f"""
-WITH {JUDGED}, kept AS (SELECT * FROM coverage
-  WHERE NOT (request_id % 47 = 0 AND dimension_id = 'D05'))
+WITH {JUDGED}, kept AS (SELECT * REPLACE (CASE WHEN request_id % 47 = 0 AND dimension_id = 'D05'
+    THEN 'D99' ELSE dimension_id END AS dimension_id) FROM coverage)
 SELECT 'evaluation_results' AS "table", request_id || '/' || dimension_id AS key,
-  'coverage_is_partition' AS rule FROM kept WHERE request_id % 53 = 0
+  'coverage_is_partition' AS rule FROM kept
+  WHERE CASE WHEN dimension_id = 'D99' THEN request_id % 53 <> 0 OR reviewed_criterion_ids <> ''
+    ELSE request_id % 53 = 0 END
 UNION ALL SELECT DISTINCT 'evaluation_results', CAST(request_id AS VARCHAR),
   'exactly_twelve_dimensions' FROM kept WHERE request_id % 47 = 0
 """
 ORACLES["contract_contexts"] = _checks(
     "assessment_context",
     "'verra/P' || c_custkey",
-    "SELECT * FROM customer WHERE c_custkey % 4 <> 0",
+    "SELECT * FROM customer",
     {
         "period_is_calendar_date": "c_custkey % 16 = 1",
         "period_in_order": "c_custkey % 18 = 1 AND c_custkey % 16 <> 1",

@@ -283,7 +283,10 @@ def provenance_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def readiness(spark: SparkSession, folder: str) -> DataFrame:
-    return assess.readiness(_facts(spark, folder)).select(
+    """All projects that a source or a fact names."""
+    facts = _facts(spark, folder)
+    projects = assess.project_spine(facts, view(spark, folder, adapters.SOURCE_PROJECTS))
+    return assess.readiness(facts, projects).select(
         "project_id", "dimension_id", listed("available_fields"), listed("missing_fields"),
         listed("fact_ids"), "methodology_scope", "status",
     )
@@ -375,11 +378,21 @@ def judgment_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 # ----------------------------------------------------------------------------- evaluation
 def _compared(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sides hold every observation; each abstains from a third, and one changes some units."""
     rows = adapters.observations(spark, folder)
     odd = F.col("observation_index") % 1000 % 3
-    return evaluate.compare_extractors(
-        rows, rows.where(odd != 0), rows.where(odd != 1), ["extraction_run_id"]
-    )
+
+    def side(abstains: int, changes: int) -> DataFrame:
+        return rows.withColumns(
+            {
+                "missing_reason": F.when(odd == abstains, "not_found").otherwise(F.col("missing_reason")),
+                "unit": F.when((odd == changes) & (F.col("observation_index") % 5 == 0), "other").otherwise(
+                    F.col("unit")
+                ),
+            }
+        )
+
+    return evaluate.compare_extractors(rows, side(0, 2), side(1, 9), ["extraction_run_id"])
 
 
 @query
@@ -678,7 +691,11 @@ def contract_evidence(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def contract_pages(spark: SparkSession, folder: str) -> DataFrame:
-    lines = adapters.line_pages(spark, folder).where("page_number != 7").select(
+    """Every seventh page of a document is numbered as if another stood before it."""
+    number = F.col("page_number")
+    lines = adapters.line_pages(spark, folder).withColumn(
+        "page_number", F.when(number == 7, number + 1_000_000).otherwise(number)
+    ).select(
         "*",
         F.lit(0).alias("char_start"),
         (F.length("text") - (F.col("page_number") == 3).cast("int")).alias("char_end"),
@@ -778,13 +795,14 @@ def contract_judgments(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def contract_evaluations(spark: SparkSession, folder: str) -> DataFrame:
-    rows = assess.rubric_coverage(_judged(spark, folder)).where(
-        "NOT (request_id % 47 = 0 AND dimension_id = 'D05')"
-    ).withColumn(
-        "unreviewed_criterion_ids",
-        F.when(F.col("request_id") % 53 == 0, F.col("reviewed_criterion_ids")).otherwise(
-            F.col("unreviewed_criterion_ids")
-        ),
+    request, dimension = F.col("request_id"), F.col("dimension_id")
+    rows = assess.rubric_coverage(_judged(spark, folder)).withColumns(
+        {
+            "dimension_id": F.when((request % 47 == 0) & (dimension == "D05"), "D99").otherwise(dimension),
+            "unreviewed_criterion_ids": F.when(request % 53 == 0, F.col("reviewed_criterion_ids")).otherwise(
+                F.col("unreviewed_criterion_ids")
+            ),
+        }
     )
     return contracts.check_contract("evaluations", rows)
 

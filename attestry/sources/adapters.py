@@ -144,7 +144,8 @@ def recorded(spark: SparkSession, folder: str) -> DataFrame:
     """Pages and observations in one frame; the narrower adapters project from it."""
     # Lines are dealt by order while they are narrow, so every later step has a document's pages
     # together and as many tasks as the session's shuffles, however the file was laid out.
-    lines = table(spark, folder, "lineitem").repartition("l_orderkey")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = table(spark, folder, "lineitem").repartition(tasks, "l_orderkey")
     return spark.sql(RECORDED, lineitem=lines)
 
 
@@ -468,9 +469,10 @@ def project_contexts(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(16).alias("char_start"),
         (F.lit(16) + F.length(quote)).alias("char_end"),
     )
-    return table(spark, folder, "customer").where("c_custkey % 4 != 0").select(
+    # Every fourth context is about a project that has no facts, and theirs have no context.
+    return table(spark, folder, "customer").select(
         F.lit("verra").alias("registry"),
-        F.concat(F.lit("P"), key.cast("string")).alias("project_id"),
+        F.concat(F.when(key % 4 == 0, "Q").otherwise("P"), key.cast("string")).alias("project_id"),
         (key % 6 != 0).alias("authority_confirmed"),
         F.when(key % 10 == 0, "wrong").otherwise(fact(17)).alias("methodology_fact_id"),
         fact(18).alias("methodology_version_fact_id"),
@@ -548,3 +550,27 @@ SELECT event_id AS sync_run_id, CASE WHEN user_id % 4 = 0 THEN 'registry' ELSE '
 FROM {events} WHERE event_type = 'error'
 UNION ALL SELECT event_id, 'other' FROM {events} WHERE event_type = 'error' AND user_id % 2 = 0
 """
+
+# Projects that sources name and no fact is about.
+SOURCE_PROJECTS = """
+SELECT 'verra' AS registry, 'S' || CAST(s_suppkey AS STRING) AS project_id FROM {supplier}
+"""
+
+# A manifest's lines: a header, and per document a row, some of them broken in one of several ways.
+MANIFEST_LINES = """
+SELECT CASE WHEN doc_id % 50 = 7 THEN '{{"relative_path":"' || source || '/'
+  WHEN doc_id % 50 = 8 THEN '["' || source || '"]'
+  ELSE '{{"relative_path":"' || CASE doc_id % 50 WHEN 9 THEN '' WHEN 10 THEN source || '/same.txt'
+      ELSE source || '/' || CAST(doc_id AS STRING) || '.txt' END
+    || '","size_bytes":' || CASE doc_id % 50 WHEN 11 THEN '0' WHEN 12 THEN '"many"'
+      ELSE CAST(n_chars AS STRING) END
+    || ',"sha256":"' || CASE doc_id % 50 WHEN 13 THEN 'xyz' ELSE sha256_of(text) END
+    || '","content_type":"' || CASE doc_id % 50 WHEN 14 THEN '' ELSE 'text/plain' END
+    || '","registry":' || CASE doc_id % 50 WHEN 15 THEN '"nowhere"' WHEN 16 THEN 'null' ELSE '"verra"' END
+    || ',"source_url":"' || CASE doc_id % 50 WHEN 17 THEN 'files' ELSE 'https://example.org' END || '/x"}}'
+  END AS value
+FROM {documents}
+UNION ALL SELECT '{{"root_label":"documents","row_count":' || CAST(count(*) AS STRING) || ',"total_bytes":1}}'
+FROM {documents}
+UNION ALL SELECT '  '
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from attestry.catalog import DOCUMENT_TYPES, REGISTRIES, SPLITS
 from attestry.schemas import MANIFEST
 
 # Content type by file extension; everything else is an octet stream.
@@ -92,16 +93,89 @@ def describe_files(
     )
 
 
+def _row_rules() -> Column:
+    """The rules that a manifest row breaks."""
+    optional = {
+        "registry_unknown": ("registry", REGISTRIES),
+        "document_type_unknown": ("document_type", DOCUMENT_TYPES),
+        "split_unknown": ("sample_split", SPLITS),
+    }
+    rules = {
+        "path_empty": F.coalesce(F.length("relative_path") == 0, F.lit(True)),
+        "size_not_positive": F.coalesce(F.col("size_bytes") <= 0, F.lit(True)),
+        "sha256_invalid": ~F.coalesce(F.col("sha256").rlike(r"^[0-9a-f]{64}\z"), F.lit(False)),
+        "content_type_empty": F.coalesce(F.length("content_type") == 0, F.lit(True)),
+        "url_not_absolute": ~F.coalesce(F.col("source_url").rlike("^https?://[^/]+"), F.lit(True)),
+        **{rule: ~F.coalesce(F.col(name).isin(*known), F.lit(True)) for rule, (name, known) in optional.items()},
+    }
+    return F.array_compact(F.array(*[F.when(bad, rule) for rule, bad in rules.items()]))
+
+
 def manifest_violations(manifest: DataFrame) -> DataFrame:
     """Rows a manifest may not hold; an empty file is reported here instead of failing the job."""
-    rules = F.array_compact(
+    return manifest.select("relative_path", F.explode(_row_rules()).alias("rule"))
+
+
+HEADER = "row_count bigint, total_bytes bigint, root_label string, generated_at string"
+
+
+def parse_manifest_lines(lines: DataFrame) -> DataFrame:
+    """JSON lines (``value``) as columns of rows and header, with ``kind``: row, header or broken.
+
+    Blank lines go. A line that is no JSON object of the two layouts is kept whole and marked broken.
+    """
+    layout = f"{MANIFEST}, {HEADER}, _corrupt_record string"
+    parsed = F.from_json(
+        "value", layout, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    )
+    broken = F.col("_corrupt_record").isNotNull() | ~F.coalesce(
+        F.expr("try_parse_json(value) IS NOT NULL AND schema_of_variant(try_parse_json(value)) LIKE 'OBJECT%'"), F.lit(False)
+    )
+    return (
+        lines.where(F.trim("value") != "").select("value", parsed.alias("p")).select("value", "p.*")
+        .withColumn(
+            "kind",
+            F.when(broken, "broken").when(F.col("row_count").isNotNull() & F.col("relative_path").isNull(), "header")
+            .otherwise("row"),
+        )
+        .drop("_corrupt_record")
+    )
+
+
+def manifest_line_violations(lines: DataFrame) -> DataFrame:
+    """What is wrong with a manifest's lines: line (its sha256), rule.
+
+    Broken lines; row rules; a path on several lines; and the header, which must stand once and name
+    the number of rows and their bytes (rule on the empty line hash where there is none).
+    """
+    parsed = parse_manifest_lines(lines)
+    line = F.sha2("value", 256).alias("line")
+    broken = parsed.where("kind = 'broken'").select(line, F.lit("line_broken").alias("rule"))
+    rows = parsed.where("kind = 'row'")
+    ruled = rows.select(line, F.explode(_row_rules()).alias("rule"))
+    several = rows.groupBy("relative_path").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = rows.join(several, "relative_path", "left_semi").select(line, F.lit("path_repeated").alias("rule"))
+    totals = parsed.agg(
+        F.count_if(F.col("kind") == "header").alias("_headers"),
+        F.count_if(F.col("kind") == "row").alias("_rows"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "row", F.col("size_bytes"))), F.lit(0)).alias("_bytes"),
+    )
+    one = F.lit(1).alias("_one")
+    headers = parsed.where("kind = 'header'").select("*", one).join(totals.select("*", one), "_one")
+    wrong = F.array_compact(
         F.array(
-            F.when(F.col("size_bytes") <= 0, "size_not_positive"),
-            F.when(~F.col("sha256").rlike(r"^[0-9a-f]{64}\z"), "sha256_invalid"),
-            F.when(F.length("relative_path") == 0, "path_empty"),
+            F.when(F.col("_headers") > 1, "header_repeated"),
+            F.when(F.col("row_count") != F.col("_rows"), "row_count_differs"),
+            F.when(~F.col("total_bytes").eqNullSafe(F.col("_bytes")), "total_bytes_differ"),
         )
     )
-    return manifest.select("relative_path", F.explode(rules).alias("rule"))
+    lost = totals.where("_headers = 0").select(
+        F.sha2(F.lit(""), 256).alias("line"), F.lit("header_missing").alias("rule")
+    )
+    return (
+        broken.unionByName(ruled).unionByName(repeated)
+        .unionByName(headers.select(line, F.explode(wrong).alias("rule"))).unionByName(lost)
+    )
 
 
 def manifest_header(manifest: DataFrame) -> DataFrame:
@@ -117,8 +191,12 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines; header lines (no path) and blank lines are left out."""
-    return spark.read.schema(MANIFEST).json(path).where("relative_path IS NOT NULL")
+    """The rows of JSON lines; header, blank and broken lines are left out.
+
+    ``manifest_line_violations(spark.read.text(path))`` names what is wrong with the lines.
+    """
+    names = [field.split(" ")[0] for field in MANIFEST.split(", ")]
+    return parse_manifest_lines(spark.read.text(path)).where("kind = 'row'").select(*names)
 
 
 def sample_rank(seed: int, path: Column | str) -> Column:

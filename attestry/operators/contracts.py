@@ -356,6 +356,42 @@ def check_policies(weights: DataFrame) -> DataFrame:
     )
 
 
+def check_datasets(datasets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Gold datasets (dataset_version, status, frozen_at) against the samples that name them."""
+    key = ["dataset_version"]
+    frozen = F.col("status") == "frozen"
+    rows = _broken(
+        datasets,
+        "gold_datasets",
+        key,
+        {
+            "frozen_dataset_needs_time": frozen & F.col("frozen_at").isNull(),
+            "dataset_status_known": ~F.col("status").isin("draft", "frozen"),
+        },
+    )
+    samples = labels.groupBy("dataset_version", "sample_id").agg(
+        F.max(F.col("sample_status") != "frozen").alias("_open"),
+        (F.min("project_id") != F.max("project_id")).alias("_two"),
+    )
+    named = samples.join(datasets.select(*key, "status"), key, "left")
+    open_ = named.where(frozen & F.col("_open")).select(
+        F.lit("gold_samples").alias("table"), _key(["dataset_version", "sample_id"]),
+        F.lit("frozen_dataset_needs_frozen_samples").alias("rule"),
+    )
+    unknown = named.where("status IS NULL").select(
+        F.lit("gold_samples").alias("table"), _key(["dataset_version", "sample_id"]),
+        F.lit("dataset_version_known").alias("rule"),
+    )
+    two = named.where("_two").select(
+        F.lit("gold_samples").alias("table"), _key(["dataset_version", "sample_id"]),
+        F.lit("sample_once").alias("rule"),
+    )
+    empty = datasets.join(samples, key, "left_anti").select(
+        F.lit("gold_datasets").alias("table"), _key(key), F.lit("dataset_has_samples").alias("rule")
+    )
+    return _all([rows, open_, unknown, two, empty])
+
+
 def check_gold(labels: DataFrame) -> DataFrame:
     """``labels`` has one row per sample and field, with the sample's own columns repeated."""
     confirmed = F.col("label_status") == "confirmed"
@@ -463,6 +499,7 @@ CHECKS = {
     "evaluations": check_evaluations,
     "contexts": check_contexts,
     "policies": check_policies,
+    "datasets": check_datasets,
     "gold": check_gold,
     "versions": check_versions,
 }

@@ -8,6 +8,7 @@ from attestry.plans.oracles import (
     CARBON,
     CODES,
     GROUNDED,
+    LINES,
     ORACLES,
     RECORDED,
     TYPED,
@@ -16,7 +17,7 @@ from attestry.plans.oracles import (
     quoted,
     uuid5_sql,
 )
-from attestry.plans.review_oracles import IDENTITY
+from attestry.plans.review_oracles import FOLD, IDENTITY
 from attestry.sources import adapters
 
 # ----------------------------------------------------------------------------- stored pages
@@ -175,3 +176,45 @@ SELECT l.*, CASE WHEN coalesce(s.scope, false) THEN 'confirmed_by_reviewed_fact'
   CASE WHEN missing_fields = '' THEN 'rubric_pending' ELSE 'missing_inputs' END AS status
 FROM listed l LEFT JOIN scopes s ON s.registry = l.registry AND s.project_id = l.project_id
 """
+
+# ------------------------------------------------------------------- decisions and contracts
+ORACLES["decision_replays"] = f"""
+WITH {FOLD}, base AS (SELECT decision_id, CASE WHEN code = '' THEN status ELSE 'blocked' END AS outcome, code,
+    CAST(substr(decision_id, 2) AS BIGINT) AS n, status FROM decided),
+sent AS (SELECT decision_id, outcome, code AS codes FROM base
+  UNION ALL SELECT decision_id, CASE WHEN code = '' THEN 'reused' ELSE 'blocked' END, code FROM base WHERE n % 7 = 0
+  UNION ALL SELECT decision_id, 'blocked', 'decision_id_conflict' FROM base WHERE n % 11 = 0
+  UNION ALL SELECT 'N' || decision_id, 'blocked', 'candidate_not_found' FROM base WHERE status = 'approved' AND n % 13 = 0
+  UNION ALL SELECT 'M' || decision_id, 'blocked', 'replacement_field_mismatch' FROM base
+    WHERE status = 'approved' AND n % 17 = 0
+  UNION ALL SELECT 'A' || decision_id, 'blocked', 'parsed_document_absent' FROM base
+    WHERE status = 'approved' AND n % 19 = 0)
+SELECT decision_id, outcome, codes, count(*) AS submissions FROM sent GROUP BY 1, 2, 3
+"""
+ORACLES["contract_parsed"] = f"""
+WITH lines AS (SELECT parsed_document_id, max(page_number) >= 3 AS used FROM ({LINES}) GROUP BY 1),
+documents_of AS (SELECT d.doc_id AS id, l.used, d.doc_id % 5 <> 0 AS named, d.doc_id % 7 <> 0 AS versioned
+  FROM documents d LEFT JOIN lines l ON l.parsed_document_id = d.doc_id)
+SELECT 'parsed_documents' AS "table", CAST(id AS VARCHAR) AS key, 'engine_name_with_version' AS rule
+  FROM documents_of WHERE named <> versioned
+UNION ALL SELECT 'parsed_documents', CAST(id AS VARCHAR), 'ocr_pages_need_engine' FROM documents_of
+  WHERE coalesce(used, false) AND NOT named
+UNION ALL SELECT 'parsed_documents', CAST(id AS VARCHAR), 'has_pages' FROM documents_of WHERE used IS NULL
+"""
+_ARRIVED = f"(SELECT *, CAST(regexp_extract(registry_project_id, '([0-9]+)', 1) AS BIGINT) AS n FROM ({local(adapters.ARRIVALS)}))"
+ORACLES["contract_sources"] = f"""
+WITH sources AS (SELECT DISTINCT registry_project_id AS id, n FROM {_ARRIVED}),
+faults(rule, d) AS (VALUES ('registry_known', 3), ('document_type_known', 5), ('project_present', 7), ('url_absolute', 11))
+SELECT 'source_documents' AS "table", id AS key, rule FROM sources JOIN faults ON n % d = 0
+UNION ALL SELECT 'document_versions', file_name, 'source_exists' FROM {_ARRIVED} WHERE n % 19 = 0
+"""
+ORACLES["contract_datasets"] = f"""
+WITH labels AS (SELECT *, CASE WHEN CAST(substr(sample_id, 2) AS BIGINT) % 41 = 0 THEN 'unlisted'
+    ELSE dataset_version END AS named FROM ({local(adapters.GOLD_LABELS)})),
+samples AS (SELECT named, sample_id, bool_or(sample_status <> 'frozen') AS open FROM labels GROUP BY 1, 2)
+SELECT 'gold_datasets' AS "table", 'verra' AS key, 'frozen_dataset_needs_time' AS rule
+  WHERE EXISTS (SELECT 1 FROM labels WHERE dataset_version = 'verra')
+UNION ALL SELECT 'gold_samples', named || '/' || sample_id, 'frozen_dataset_needs_frozen_samples' FROM samples
+  WHERE open AND named NOT IN ('acr', 'unlisted')
+UNION ALL SELECT 'gold_samples', named || '/' || sample_id, 'dataset_version_known' FROM samples WHERE named = 'unlisted'
+"""

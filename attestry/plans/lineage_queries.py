@@ -13,6 +13,7 @@ from attestry.catalog import Rule
 from attestry.operators import (
     assess,
     canonical,
+    contracts,
     evaluate,
     external,
     extract,
@@ -24,7 +25,7 @@ from attestry.operators import (
 from attestry.plans.queries import flat_evidence, listed, query
 from attestry.session import checkpoint_root, materialize
 from attestry.sources import adapters, manifest
-from attestry.sources.adapters import view
+from attestry.sources.adapters import table, view
 from attestry.sources.parsed import ParsedStore
 
 # ----------------------------------------------------------------------------- stored pages
@@ -296,3 +297,96 @@ def end_to_end_facts(spark: SparkSession, folder: str) -> DataFrame:
         "registry", "project_id", "field_name", "value_json", "unit", "fact_id", "candidate_id", "extraction_run_id",
         "source_document_id", "sha256",
     )
+
+
+# ------------------------------------------------------------------- decisions and contracts
+@query
+def decision_replays(spark: SparkSession, folder: str) -> DataFrame:
+    """All decisions, and more: sent again, sent again changed, about nothing, about another field,
+    and with a replacement whose document was never parsed."""
+    decisions, candidates, verdicts = adapters.event_decisions(spark, folder)
+    number = F.regexp_extract("decision_id", r"(\d+)", 1).cast("long")
+    later = F.col("created_at") + F.expr("INTERVAL 1000 DAYS")
+    again = decisions.where(number % 7 == 0).withColumn("created_at", later)
+    changed = decisions.where(number % 11 == 0).withColumns(
+        {"created_at": later + F.expr("INTERVAL 1 DAY"), "reason": F.lit("changed my mind")}
+    )
+
+    def fresh(prefix: str) -> DataFrame:
+        """Approvals that expect nothing, about candidates of projects that no other decision names."""
+        return decisions.where("status = 'approved'").withColumns(
+            {
+                "decision_id": F.concat(F.lit(prefix), "decision_id"),
+                "candidate_id": F.concat(F.lit(prefix), "decision_id"),
+                "expected_current_fact_id": F.lit(None).cast("string"),
+            }
+        )
+
+    nowhere, other_field, unparsed = fresh("N").where(number % 13 == 0), fresh("M").where(number % 17 == 0), fresh("A").where(number % 19 == 0)
+    scope = [F.lit("verra").alias("registry"), F.concat(F.lit("X"), "candidate_id").alias("project_id")]
+    own = F.col("after.field_name")
+    wrong = F.when(own == "country", "project_owner").otherwise("country")
+    more = other_field.select("candidate_id", *scope, wrong.alias("field_name")).unionByName(
+        unparsed.select("candidate_id", *scope, own.alias("field_name"))
+    )
+    gone = unparsed.select(
+        "candidate_id", *scope, F.lit("gone").alias("document_version_id"), F.lit("gone").alias("parsed_document_id")
+    )
+    absent = canonical.replacement_verdicts(unparsed, gone, adapters.carbon_pages(spark, folder))
+    sent = decisions
+    for part in (again, changed, nowhere, other_field, unparsed):
+        sent = sent.unionByName(part)
+    outcomes = canonical.fold_decisions(sent, candidates.unionByName(more), verdicts.unionByName(absent))[0]
+    return outcomes.groupBy("decision_id", "outcome", listed("codes")).agg(F.count(F.lit(1)).alias("submissions"))
+
+
+@query
+def contract_parsed(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines as pages of which some were recognised; some documents name no engine or half of one."""
+    pages = adapters.line_pages(spark, folder).select(
+        "*", F.lit(0).alias("char_start"), F.length("text").alias("char_end"),
+        (F.col("page_number") % 3 == 0).alias("used_ocr"),
+    )
+    number = F.col("doc_id")
+    documents = table(spark, folder, "documents").select(
+        number.alias("parsed_document_id"),
+        F.when(number % 5 != 0, "engine").alias("ocr_engine_name"),
+        F.when(number % 7 != 0, "5.3").alias("ocr_engine_version"),
+    )
+    return contracts.check_contract("pages", pages, documents)
+
+
+@query
+def contract_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions against their sources: faulty, unknown and missing ones."""
+    rows = adapters.arrivals(spark, folder)
+    number = F.regexp_extract("registry_project_id", r"(\d+)", 1).cast("long")
+    versions = rows.select(
+        F.col("file_name").alias("document_version_id"),
+        F.when(number % 19 == 0, F.concat(F.lit("lost-"), "registry_project_id")).otherwise(F.col("registry_project_id"))
+        .alias("source_document_id"),
+        F.sha2("file_name", 256).alias("sha256"), F.lit(1).alias("byte_size"), "file_name", "content_type",
+    )
+    sources = rows.select(
+        F.col("registry_project_id").alias("source_document_id"),
+        F.when(number % 3 == 0, "nowhere").otherwise(F.col("registry")).alias("registry"),
+        F.when(number % 5 == 0, "leaflet").otherwise(F.col("document_type")).alias("document_type"),
+        F.when(number % 7 == 0, "").otherwise(F.col("registry_project_id")).alias("registry_project_id"),
+        F.when(number % 11 == 0, "files/x").otherwise(F.col("source_url")).alias("source_url"),
+    ).distinct()
+    return contracts.check_contract("versions", versions, sources)
+
+
+@query
+def contract_datasets(spark: SparkSession, folder: str) -> DataFrame:
+    labels = view(spark, folder, adapters.GOLD_LABELS)
+    number = F.substring("sample_id", 2, 20).cast("long")
+    named = labels.withColumn(
+        "dataset_version", F.when(number % 41 == 0, "unlisted").otherwise(F.col("dataset_version"))
+    )
+    datasets = labels.select("dataset_version").distinct().select(
+        "dataset_version",
+        F.when(F.col("dataset_version") == "acr", "draft").otherwise("frozen").alias("status"),
+        F.when(F.col("dataset_version") != "verra", F.lit("2024-01-01")).alias("frozen_at"),
+    )
+    return contracts.check_contract("datasets", datasets, named)

@@ -30,11 +30,13 @@ def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
             ),
         ),
     )
-    return docs.select(
-        F.col("doc_id").alias("doc"),
-        _identity(F.col("text")).alias("text_id"),
-        F.explode(F.filter(placed, lambda x: x.isNotNull())).alias("line"),
-    ).select("doc", "text_id", "line.*")
+    # The identity is part of what is exploded: beside the explode it would be taken once per line.
+    row = F.struct(
+        F.col("doc_id").alias("doc"), _identity(F.col("text")).alias("text_id"),
+        F.array_compact(placed).alias("lines"),
+    )
+    whole = docs.select(F.explode(F.array(row)).alias("row")).select("row.*")
+    return whole.select("doc", "text_id", F.explode("lines").alias("line")).select("doc", "text_id", "line.*")
 
 
 def first_occurrences(lines: DataFrame, min_docs: int) -> DataFrame:
@@ -100,9 +102,10 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         rows["doc_id"].eqNullSafe(bitmaps["doc"]) & (rows["text_id"] == bitmaps["text_id"]),
         "left",
     ).select("doc_id", "text", "n_dropped", "bitmap")
+    # Words that the bitmap leaves out keep all their lines.
     dense = F.expr(
-        "transform(sequence(0, element_at(bitmap, -1).word),"
-        " w -> coalesce(try_element_at(map_from_entries(bitmap), w), -1L))"
+        "flatten(transform(bitmap, (x, i) -> concat("
+        "array_repeat(-1L, x.word - if(i = 0, -1, bitmap[i - 1].word) - 1), array(x.keep))))"
     )
     kept = F.expr(
         "array_join(filter(split(text, '\\n', -1), (line, i) -> i div 64 >= size(dense) or"

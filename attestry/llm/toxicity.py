@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.llm.samples import SAMPLE_ROWS, labelled_sample
+from attestry.llm.samples import SAMPLE_ROWS, sample_by_class
 from attestry.llm.words import (
     SYMBOL_CODES, hash_words_with_heads, mixed, portions, text_bytes, word_table,
 )
@@ -61,8 +61,16 @@ class Severity:
         return 1 / (1 + np.exp(self.thresholds[None, :] - score[:, None]))
 
 
+def least_toxic(toxic: int) -> int:
+    """In how many toxic rows a feature must occur: 4, or fewer where few rows are toxic."""
+    return min(LEAST_TOXIC, max(2, toxic // 4))
+
+
 def select_features(sample: DataFrame) -> np.ndarray:
-    """Features that toxic rows of the sample hold far more often than others, at most 4,096."""
+    """Features that toxic rows of the sample hold far more often than others, at most 4,096.
+
+    Toxic rows without any such feature are an error: the model would call nothing toxic.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for portion in portions(batches, "text", PORTION_BYTES):
@@ -89,10 +97,12 @@ def select_features(sample: DataFrame) -> np.ndarray:
     rows = (
         sample.mapInArrow(run, "feature long, toxic long, clean long")
         .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= LEAST_TOXIC) & (odds >= LEAST_LOG_ODDS))
+        .where((F.col("toxic") >= least_toxic(toxic)) & (odds >= LEAST_LOG_ODDS))
         .orderBy((odds * F.sqrt("toxic")).desc(), "feature").limit(MOST_FEATURES)
         .select("feature").toArrow()
     )
+    if toxic and not rows.num_rows:
+        raise ValueError(f"{toxic} of {toxic + clean} labelled rows are toxic, but no feature marks them; label more rows")
     return np.sort(rows.column("feature").to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -106,13 +116,17 @@ def grade_rows(label: np.ndarray, marks: np.ndarray) -> np.ndarray:
     return grades
 
 
-def fit_ordinal(rows, columns, values, grades: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(
+    rows, columns, values, grades: np.ndarray, n_features: int, row_weights: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of P(grade > k) = sigmoid(w x - threshold k), by adaptive gradients.
 
     All thresholds share the weights; each threshold is one binary question over all rows, and they
-    are kept in order by fitting the first one and positive gaps.
+    are kept in order by fitting the first one and positive gaps. ``row_weights`` say how many rows
+    each one stands for.
     """
     n, cuts = len(grades), GRADES - 1
+    share = np.ones(n) if row_weights is None else row_weights * n / row_weights.sum()
     beyond = grades[:, None] > np.arange(cuts)[None, :]
     weights, first, gaps = np.zeros(n_features), 1.0, np.zeros(cuts - 1)
     memory = np.full(n_features + cuts, 1e-8)
@@ -121,6 +135,7 @@ def fit_ordinal(rows, columns, values, grades: np.ndarray, n_features: int) -> t
         thresholds = first + np.append(0.0, np.cumsum(steps))
         score = np.bincount(rows, weights=values * weights[columns], minlength=n)
         error = 1 / (1 + np.exp(np.clip(thresholds[None, :] - score[:, None], -50, 50))) - beyond
+        error *= share[:, None]
         by_row = error.sum(axis=1)
         slope_w = np.bincount(columns, weights=values * by_row[rows], minlength=n_features) / n + L2 * weights / n
         slope_t = -error.mean(axis=0)
@@ -135,10 +150,11 @@ def fit_ordinal(rows, columns, values, grades: np.ndarray, n_features: int) -> t
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Severity:
     """A model from at most ``rows`` labelled documents (doc_id, toxic 0 or 1).
 
-    Toxic rows get grades 1 to 3 by how many marked features they hold. Without toxic rows nothing
-    is ever found toxic.
+    Each class fills half of them and weighs as it does among all labels. Toxic rows get grades 1 to 3
+    by how many marked features they hold. Without toxic rows nothing is ever found toxic; with toxic
+    rows that no feature marks, this is an error.
     """
-    sample = labelled_sample(docs, labels, "toxic", rows)
+    sample = sample_by_class(docs, labels, "toxic", rows)
     features = select_features(sample)
     if not len(features):
         return Severity(features, np.zeros(0), np.full(GRADES - 1, 50.0))
@@ -151,14 +167,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Severi
             yield pa.RecordBatch.from_arrays(
                 [
                     portion.column("label").cast(pa.int32()),
+                    portion.column("weight"),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(columns.astype(np.int32))),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)),
                 ],
-                names=["label", "columns", "values"],
+                names=["label", "weight", "columns", "values"],
             )
 
     # At most ``rows`` rows with the few selected features that each holds.
-    table = sample.mapInArrow(run, "label int, columns array<int>, values array<double>").toArrow()
+    table = sample.mapInArrow(run, "label int, weight double, columns array<int>, values array<double>").toArrow()
     label = table.column("label").to_numpy()
     lists = table.column("columns").to_pylist()
     sizes = np.array([len(x) for x in lists], dtype=np.int64)
@@ -166,7 +183,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Severi
     columns = np.array([c for x in lists for c in x], dtype=np.int64)
     values = np.array([v for x in table.column("values").to_pylist() for v in x])
     marks = np.bincount(owner, weights=np.expm1(values), minlength=len(label))
-    weights, thresholds = fit_ordinal(owner, columns, values, grade_rows(label, marks), len(features))
+    weights, thresholds = fit_ordinal(
+        owner, columns, values, grade_rows(label, marks), len(features), table.column("weight").to_numpy()
+    )
     return Severity(features, weights, thresholds)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +18,65 @@ DOWNLOAD_PREFIX = "https://assurance-platform.goldstandard.org/api/public/docume
 
 _ANCHOR = r"(?is)<a(?=[\s>])([^>]*)>(.*?)(?=(</a\s*>|<a[\s>]|\z))"
 _HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&"))
+#: What a reference may be: a number, or a name whose last character may be a semicolon.
+_REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{0,31};?)"
+_LONGEST_BARE = max(len(name) for name in html5 if not name.endswith(";"))
+
+
+def _numbered(code: Column) -> Column:
+    """The character of a numeric reference, as HTML reads it.
+
+    Numbers of the C1 range mean Windows characters; no character is U+FFFD, and controls and
+    non-characters are left out.
+    """
+    windows = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    named = F.create_map(*[F.lit(x) for pair in windows.items() for x in pair])
+    whole = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    low = F.pmod(code, F.lit(0x10000))
+    left_out = (
+        code.between(1, 8) | (code == 0x0B) | code.between(0x0E, 0x1F) | (code == 0x7F)
+        | code.between(0xFDD0, 0xFDEF) | low.isin(0xFFFE, 0xFFFF)
+    )
+    return (
+        F.when(code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+        .when(code.between(0x80, 0x9F), F.element_at(named, code.cast("int")))
+        .when(left_out, "")
+        .otherwise(whole)
+    )
 
 
 def unescape(text: Column) -> Column:
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    """Character references replaced: numbers, and all names of HTML 5, also those without semicolon."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+    def after_ampersand(piece: Column) -> Column:
+        reference = F.regexp_extract(piece, _REFERENCE, 1)
+        digits = F.regexp_extract(piece, r"^#[xX]?([0-9a-fA-F]+)", 1)
+        hexadecimal = piece.rlike("^#[xX]")
+        short = F.length(F.ltrim(digits, F.lit("0"))) <= 8
+        code = F.when(short, F.conv(digits, 16, 10)).cast("long")
+        code = F.when(hexadecimal, code).otherwise(digits.try_cast("long"))
+        rest = F.substr(piece, F.length(reference) + 1)
+        # The whole name, or else the longest bare one that it begins with: those may run on.
+        length = F.length(reference)
+        sizes = F.array_append(
+            F.filter(F.array(*[F.lit(n) for n in range(_LONGEST_BARE, 1, -1)]), lambda n: n < length), F.lit(0)
+        )
+        tried = F.transform(
+            F.concat(F.array(length), sizes),
+            lambda n: F.struct(n.alias("n"), F.element_at(names, F.substr(piece, F.lit(1), n)).alias("character")),
+        )
+        found = F.get(F.filter(tried, lambda x: x["character"].isNotNull()), F.lit(0))
+        return (
+            F.when(reference == "", F.concat(F.lit("&"), piece))
+            .when(reference.startswith("#"), F.concat(_numbered(code), rest))
+            .when(found.isNotNull(), F.concat(found["character"], F.substr(piece, found["n"] + 1)))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
+
+    pieces = F.split(text, "&", -1)
+    read = F.transform(pieces, lambda piece, at: F.when(at == 0, piece).otherwise(after_ampersand(piece)))
+    return F.when(text.contains("&"), F.array_join(read, "")).otherwise(text)
 
 
 def join_url(base: Column, link: Column) -> Column:

@@ -48,8 +48,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again before the next."""
+    """All stages over ``documents``; each result is written and read again before the next.
+
+    A stage's table is deleted once the next one is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    done: list[DataFrame] = []
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        docs = materialize(stage(spark, docs, sf_dir), instead_of=done)
+        done = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

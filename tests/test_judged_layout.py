@@ -25,3 +25,11 @@ def test_judgments_are_not_shuffled_after_they_are_formed(spark):
 @pytest.mark.parametrize("name", ["contract_judgments", "contract_evaluations", "rubric_coverage"])
 def test_query_equals_sql(spark, name):
     assert compare(queries()[name](spark, FOLDER), connect(FOLDER), oracle_sql()[name]) == []
+
+
+def test_coverage_of_requests_needs_no_exchange_by_request_alone(spark):
+    frame = queries()["contract_evaluations"](spark, FOLDER)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        frame.explain()
+    assert "REPARTITION_BY_NUM" in out.getvalue()

@@ -70,25 +70,32 @@ class ParsedStore:
         )
         return rows.drop(WRITE)
 
-    def write(self, documents: DataFrame, pages: DataFrame) -> DataFrame:
+    def write(self, documents: DataFrame, pages: DataFrame, dealt: bool = False) -> DataFrame:
         """Store the parses whose (version, settings) is new, with their pages; returns the others.
 
-        Of several parses of one version and settings the least id is taken.
+        Of several parses of one version and settings the least id is taken. ``dealt`` says that pages
+        lie in as many partitions of ``PAGE_KEY`` as there are buckets, for instance because their text
+        is formed after that. Then only keys move; pages dealt otherwise give more files, no other rows.
         """
         write_id = uuid.uuid4().hex
         fresh_ids, reused = unparsed(documents, self.documents())
         fresh = documents.join(fresh_ids.select("parsed_document_id"), "parsed_document_id", "left_semi")
         fresh = fresh.select(*self.document_schema.names)
-        self._write_pages(pages.join(fresh.select("parsed_document_id"), "parsed_document_id", "left_semi"), write_id)
+        ids = fresh.select("parsed_document_id")
+        if dealt:
+            wanted = pages.select(*PAGE_KEY).join(ids, "parsed_document_id", "left_semi")
+            unnumbered = pages.where("page_number IS NULL").join(ids, "parsed_document_id", "left_semi")
+            kept = pages.join(wanted, list(PAGE_KEY), "left_semi").unionByName(unnumbered)
+        else:
+            kept = pages.join(ids, "parsed_document_id", "left_semi")
+        self._write_pages(kept, write_id, dealt)
         self._write_documents(fresh, write_id)
         return reused
 
-    def _write_pages(self, pages: DataFrame, write_id: str) -> None:
-        (
-            pages.select(*self.page_schema.names, F.lit(write_id).alias(WRITE))
-            .repartition(self.buckets, *PAGE_KEY)
-            .write.mode("append").insertInto(self.name)
-        )
+    def _write_pages(self, pages: DataFrame, write_id: str, dealt: bool = False) -> None:
+        rows = pages.select(*self.page_schema.names, F.lit(write_id).alias(WRITE))
+        rows = rows if dealt else rows.repartition(self.buckets, *PAGE_KEY)
+        rows.write.mode("append").insertInto(self.name)
 
     def _write_documents(self, documents: DataFrame, write_id: str) -> None:
         documents.withColumn(WRITE, F.lit(write_id)).write.mode("append").parquet(f"{self.location}/documents")

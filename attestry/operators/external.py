@@ -21,6 +21,16 @@ GIVEN = ("parsed_document_id", "document_version_id", "page_number", "text")
 RETURNED = f"parsed_document_id string, observation_index int, {OBSERVATION_COLUMNS}"
 
 
+#: Rows that an extractor gets at a time; what it makes of them is gone before the next ones.
+PORTION = 1000
+
+
+def portions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for at in range(0, len(frame), PORTION):
+            yield frame.iloc[at : at + PORTION].reset_index(drop=True)
+
+
 def run_extractor(
     pages: DataFrame, extractor: Extractor, headers: DataFrame, fields: Sequence[str] = FIELDS
 ) -> tuple[DataFrame, DataFrame]:
@@ -36,7 +46,7 @@ def run_extractor(
     given = pages.select(
         F.col("parsed_document_id").cast("string"), F.col("document_version_id").cast("string"), "page_number", "text"
     )
-    found = materialize(given.select(*GIVEN).mapInPandas(extractor, RETURNED))
+    found = materialize(given.select(*GIVEN).mapInPandas(lambda frames: extractor(portions(frames)), RETURNED))
     document = "parsed_document_id"
     rows = found.join(headers.withColumn("_known", F.lit(True)), document, "left")
     broken = rows.select(

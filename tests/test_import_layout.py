@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from attestry.functions.values import canonical_hash
-from attestry.operators import review
+from attestry.operators import review, validate
+from attestry.plans import lineage_queries
 from attestry.plans.queries import validated
 from attestry.sources import adapters
 from oracle import compare, connect
@@ -87,3 +88,21 @@ def test_keyed_observations_are_the_same_observations(spark):
 @pytest.mark.parametrize("name", ["import_violations", "imported_candidates", "imported_evidence", "observation_mismatches"])
 def test_query_equals_sql(spark, name):
     assert compare(queries()[name](spark, FOLDER), connect(FOLDER), oracle_sql()[name]) == []
+
+
+def test_chain_keeps_its_observations_where_they_are_checked(spark, monkeypatch):
+    written, write = [], lineage_queries.materialize_buckets
+
+    class Enough(Exception):
+        pass
+
+    def noted(df, keys, dealt=False):
+        written.append((tuple(keys), dealt))
+        if len(written) == 2:
+            raise Enough
+        return write(df, keys, dealt)
+
+    monkeypatch.setattr(lineage_queries, "materialize_buckets", noted)
+    with pytest.raises(Enough):
+        lineage_queries.end_to_end_facts(spark, "/root/testdata/sf0.001")
+    assert written == [(validate.KEY, False), (validate.KEY, True)]
